@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analyses this library rebuilds query stored tables only - there is no
+watermark, window, state or late-data construct to reproduce - so every
+report is a batch DataFrame job.  Any report can still run per micro-batch
+through ``writeStream.foreachBatch`` because each one is a plain function of
+DataFrames.
+"""
