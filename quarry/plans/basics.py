@@ -217,7 +217,7 @@ def weekday_counts(spark, sf_dir):
 WITH s AS (SELECT ts - INTERVAL 6 HOUR AS local_ts FROM events WHERE event_type NOT IN ('error', 'signup'))
 SELECT CAST(year(local_ts) AS INTEGER) AS local_year, dayname(local_ts) AS weekday,
        CAST(list_position(['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'],
-                          dayname(local_ts)) AS INTEGER) AS day_order,
+                          dayname(local_ts)) AS BIGINT) AS day_order,
        COUNT(*) AS n_events
 FROM s GROUP BY 1, 2, 3
 ORDER BY local_year, day_order

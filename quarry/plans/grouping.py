@@ -36,7 +36,7 @@ def _money_avg_sql(col):
 SELECT COUNT(*) AS n_rows, COUNT(l.quality) AS n_quality, COUNT(DISTINCT d.lang) AS n_langs,
        COUNT(DISTINCT l.quality) AS n_quality_values,
        COUNT(*) FILTER (WHERE l.quality IS NULL) AS n_quality_null,
-       SUM(CAST(l.quality IS NULL AS INTEGER)) AS n_quality_null_sum
+       CAST(SUM(CAST(l.quality IS NULL AS INTEGER)) AS BIGINT) AS n_quality_null_sum
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def counts_all_kinds(spark, sf_dir):
