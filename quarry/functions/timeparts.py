@@ -51,6 +51,16 @@ def day_of(ts) -> Column:
     return F.to_date(_c(ts))
 
 
+def day_bit(ts) -> Column:
+    """The day of the month as one bit of a long: 1 << (day - 1).
+
+    ``bit_or`` of these over a (key, year, month) group is a bitmap of the
+    sale days, and ``bit_count`` of the bitmap is the exact number of distinct
+    days - an algebraic aggregate with one 64-bit word of state per group.
+    """
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(_c(ts)) - 1)
+
+
 def year_month_key(ts) -> Column:
     """Sortable integer yyyymm (X4 with the padding of R16)."""
     c = _c(ts)

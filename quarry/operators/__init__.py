@@ -1,4 +1,5 @@
-from quarry.operators.aggs import (attr, attr_strict, cents, daily_rate, null_count, per_day,
+from quarry.operators.aggs import (attr, attr_strict, cents, daily_rate, days_in, null_count,
+                                  per_month,
                                   period_daily_rates, pivot_sums, representative, scaled_ratio,
                                   spread,
                                   with_total)
@@ -9,7 +10,7 @@ from quarry.operators.profile import (all_null_columns, blank_null_breakdown, du
 from quarry.operators.ranking import best_in_group, count_best, page, top_k
 
 __all__ = [
-    "attr", "attr_strict", "cents", "daily_rate", "null_count", "per_day", "period_daily_rates",
+    "attr", "attr_strict", "cents", "daily_rate", "days_in", "null_count", "per_month", "period_daily_rates",
     "pivot_sums", "representative", "scaled_ratio", "spread", "with_total",
     "anti", "anti_by_outer_join", "broadcast_if_small", "dedupe_join", "estimated_bytes",
     "fanout", "join_back_top", "keyed_join", "semi",

@@ -1,9 +1,13 @@
 """Aggregation building blocks.
 
-Distinct-day counting at fact scale is done by pre-aggregating to one row
-per (entity, day) and then *counting rows* - two cheap partial/final
-aggregations - instead of ``COUNT(DISTINCT day)`` per period, which makes
-Spark expand every fact row once per distinct expression.
+Distinct-day counting at fact scale (A15, A16, D10) never uses
+``COUNT(DISTINCT day)``: that plans an extra shuffle keyed by (group, day)
+and, with several of them, an Expand that copies every fact row once per
+distinct expression.  Instead the fact is reduced to one row per
+(entity, year, month) holding the amount sums and a 31-bit bitmap of its
+sale days (``bit_or``); the distinct-day count is ``bit_count`` of that
+bitmap.  All of it is algebraic, so map-side partial aggregation collapses a
+hot entity before the shuffle, and the per-group state is one word.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.arith import ratio
+from quarry.functions.timeparts import day_bit
 
 
 def _c(col) -> Column:
@@ -78,23 +83,32 @@ def pivot_sums(value, period, periods: Mapping[str, object]) -> list[Column]:
             for label, v in periods.items()]
 
 
-def per_day(df: DataFrame, keys: Sequence[str], day_col, sums: Mapping[str, object]) -> DataFrame:
-    """Pre-aggregate a fact to one row per (keys, day) with the given sums (A16 stage 1)."""
-    return df.groupBy(*keys, _c(day_col).alias("day")).agg(
-        *[F.sum(_c(v)).alias(name) for name, v in sums.items()])
+def per_month(df: DataFrame, keys: Sequence[str], ts, sums: Mapping[str, object]) -> DataFrame:
+    """Reduce a fact to one row per (keys, year, month): the given sums plus
+    ``day_mask``, the bitmap of days with at least one row (stage 1 of A15/A16)."""
+    c = _c(ts)
+    return df.groupBy(*keys, F.year(c).alias("year"), F.month(c).alias("month")).agg(
+        *[F.sum(_c(v)).alias(name) for name, v in sums.items()],
+        F.bit_or(day_bit(c)).alias("day_mask"))
 
 
-def daily_rate(daily: DataFrame, keys: Sequence[str], amount: str = "amount",
+def days_in(mask="day_mask") -> Column:
+    """Number of distinct days in a day bitmap."""
+    return F.bit_count(_c(mask)).cast("long")
+
+
+def daily_rate(monthly: DataFrame, keys: Sequence[str], amount: str = "amount",
                min_days: int | None = None, unit_scale: int = 1) -> DataFrame:
     """Average daily amount = SUM(amount) / number of distinct days.
 
-    ``daily`` has one row per (keys, day) (see :func:`per_day`), so the day
-    count is a plain ``count`` - no distinct aggregation.  Money may arrive as
+    ``monthly`` comes from :func:`per_month`; ``keys`` may include ``year`` /
+    ``month`` or not.  The day count adds up the bitmaps' bit counts - exact,
+    since a day belongs to exactly one (year, month).  Money may arrive as
     integer minor units (cents, ``unit_scale=100``): ``revenue`` is then an
     exact sum, independent of summation order, and only the rate is a double.
     """
-    out = daily.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_days"),
-                                   F.sum(amount).alias("revenue"))
+    out = monthly.groupBy(*keys).agg(F.sum(days_in()).alias("num_days"),
+                                     F.sum(amount).alias("revenue"))
     if min_days is not None:
         out = out.filter(F.col("num_days") >= min_days)
     return out.withColumn("daily_revenue", scaled_ratio("revenue", "num_days", unit_scale))
@@ -105,19 +119,20 @@ def scaled_ratio(amount, count, unit_scale: int = 1) -> Column:
     return ratio(_c(amount).cast("double") / F.lit(unit_scale), _c(count))
 
 
-def period_daily_rates(daily: DataFrame, keys: Sequence[str], period_col: str,
+def period_daily_rates(monthly: DataFrame, keys: Sequence[str], period_col: str,
                        periods: Mapping[str, object], amount: str = "amount") -> DataFrame:
     """Per entity: amount and day count for each named period, side by side (A14 + A15).
 
     ``COUNT(DISTINCT CASE WHEN period = v THEN day END)`` becomes
-    ``count(CASE WHEN period = v THEN 1 END)`` over the per-day rows.
+    ``SUM(CASE WHEN period = v THEN bit_count(day_mask) END)`` over the
+    per-month rows of :func:`per_month`.
     """
     aggs = []
     for label, v in periods.items():
         hit = F.col(period_col) == F.lit(v)
         aggs.append(F.sum(F.when(hit, F.col(amount))).alias(f"{label}_sales"))
-        aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"{label}_days"))
-    return daily.groupBy(*keys).agg(*aggs)
+        aggs.append(F.coalesce(F.sum(F.when(hit, days_in())), F.lit(0)).alias(f"{label}_days"))
+    return monthly.groupBy(*keys).agg(*aggs)
 
 
 def cents(col) -> Column:
