@@ -36,9 +36,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
     file sizes scaled by the pruned columns, exact row bounds after a LIMIT.
     """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - no JVM plan (e.g. Connect): treat as unknown
         return None
+    # py4j hands a Scala BigInt over as a Python int; keep a string path for other bridges.
+    return int(size) if isinstance(size, int) else int(str(size))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
