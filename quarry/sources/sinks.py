@@ -37,6 +37,18 @@ def export_folder(spark: SparkSession, prefix: str = "export") -> str:
     return shared_dir(spark, unique_name(prefix))
 
 
+def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
+
+    For an intermediate that a plan uses more than once: it is computed a
+    single time (one job, every task writing its own part), the lineage is
+    cut, and a lost executor costs a re-read rather than a recomputation.
+    """
+    path = export_folder(df.sparkSession, prefix)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def preview(df: DataFrame, n: int = 1000) -> DataFrame:
     """The display cap of a notebook (first ``n`` rows), as a lazy DataFrame."""
     return df.limit(n)
