@@ -14,7 +14,7 @@ from quarry.functions import (WEEKDAYS_MONDAY_FIRST, clean_label, ci_eq, ci_like
                               weekday_name, weekday_number, whole_units_between)
 from quarry.operators import page, top_k
 from quarry.plans.registry import report
-from quarry.sources import Tables
+from quarry.sources import Tables, register_views
 
 # Segment rewrites that give the driver data NULLs and blanks
 # (SURVEY 7.3): one segment becomes NULL, another the empty string.
@@ -33,7 +33,7 @@ SEG_SQL = ("CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL WHEN c_mktsegment = '
            "ELSE c_mktsegment END")
 
 
-@report("project_alias_arith", ops=("P1", "P3", "P4"), sql="""
+@report("project_alias_arith", ops=("S1", "P1", "P3", "P4"), sql="""
 SELECT l_orderkey, l_linenumber, l_quantity,
        l_extendedprice * (1 - l_discount) AS "net price",
        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS "charge",
@@ -49,7 +49,7 @@ def project_alias_arith(spark, sf_dir):
                      (F.col("l_quantity") / 12).alias("dozens"))
 
 
-@report("filter_compare_logic", ops=("F1", "F2", "F3", "F12", "F13"), sql="""
+@report("filter_compare_logic", ops=("F1", "F2", "F3", "F12", "F13", "A10"), sql="""
 SELECT COUNT(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40 OR l_discount = 0) AS n_and_or,
        COUNT(*) FILTER (WHERE l_returnflag = 'R' AND (l_quantity > 40 OR l_discount = 0)) AS n_paren,
        COUNT(*) FILTER (WHERE NOT l_returnflag = 'R' AND l_quantity BETWEEN 10 AND 20) AS n_not_and,
@@ -231,3 +231,14 @@ def year_weekday_shifted(spark, sf_dir, hours: int = -6):
                       order_by_list(wd, WEEKDAYS_MONDAY_FIRST).alias("day_order"))
             .agg(F.count(F.lit(1)).alias("n_events"))
             .orderBy("local_year", "day_order"))
+
+
+@report("sql_select_star_views", ops=("S1", "S2", "P2", "F1", "F8"), sql="""
+SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '1998-01-01'
+""")
+def sql_select_star_views(spark, sf_dir):
+    """The SQL face of the library: tables registered as views (``USE db`` / ``db.table``),
+    then ``SELECT *`` with filters that reach the Parquet scan (E01:75-120, E02:49)."""
+    register_views(spark, sf_dir, ["orders"])
+    return spark.sql("SELECT * FROM orders "
+                     "WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP_NTZ '1998-01-01'")

@@ -32,7 +32,7 @@ def _money_avg_sql(col):
 # --------------------------------------------------------------------------- counts
 
 
-@report("counts_all_kinds", ops=("A1", "A2", "A3", "A5", "X12", "J5"), sql="""
+@report("counts_all_kinds", ops=("A1", "A2", "A3", "A5", "A10", "X12", "J5"), sql="""
 SELECT COUNT(*) AS n_rows, COUNT(l.quality) AS n_quality, COUNT(DISTINCT d.lang) AS n_langs,
        COUNT(DISTINCT l.quality) AS n_quality_values,
        COUNT(*) FILTER (WHERE l.quality IS NULL) AS n_quality_null,
@@ -209,7 +209,7 @@ def bin_balance(spark, sf_dir):
         F.min("c_acctbal").alias("min_balance"), F.max("c_acctbal").alias("max_balance"))
 
 
-@report("segment_early_late", ops=("Q3", "X13", "A6", "A12"), sql="""
+@report("segment_early_late", ops=("Q3", "S4", "X13", "A6", "A12"), sql="""
 WITH first_order AS (SELECT o_custkey, MIN(o_orderdate) AS first_date FROM orders GROUP BY o_custkey)
 SELECT c.c_mktsegment,
        IF(f.first_date < TIMESTAMP '1995-06-01', 'early', 'late') AS cohort,
@@ -258,11 +258,12 @@ def duration_minutes_stats(spark, sf_dir):
         F.min("minutes").alias("min_minutes"), F.max("minutes").alias("max_minutes"))
 
 
-@report("negative_durations", ops=("D2", "D3", "F13", "F14"), sql=f"""
+@report("negative_durations", ops=("D2", "D3", "F13", "F14", "X10", "A10"), sql=f"""
 SELECT COUNT(*) FILTER (WHERE l.l_shipdate < o.o_orderdate) AS n_negative,
        MIN({_MINUTES_SQL}) AS min_minutes,
        COUNT(*) FILTER (WHERE {_MINUTES_SQL} = 0) AS n_zero_minutes,
        COUNT(*) FILTER (WHERE l.l_shipdate = o.o_orderdate) AS n_same_time,
+       MAX(date_diff('day', o.o_orderdate, l.l_shipdate)) AS max_days,
        COUNT(*) AS n_lines
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """)
@@ -273,10 +274,11 @@ def negative_durations(spark, sf_dir):
                  F.min("minutes").alias("min_minutes"),
                  F.count_if(F.col("minutes") == 0).alias("n_zero_minutes"),
                  F.count_if(F.col("l_shipdate") == F.col("o_orderdate")).alias("n_same_time"),
+                 F.max(F.datediff("l_shipdate", "o_orderdate")).cast("long").alias("max_days"),
                  F.count(F.lit(1)).alias("n_lines"))
 
 
-@report("rows_above_average_duration", ops=("Q1", "X9", "F14"), sql=f"""
+@report("rows_above_average_duration", ops=("Q1", "Q5", "X9", "F14"), sql=f"""
 SELECT l.l_orderkey, l.l_linenumber, {_MINUTES_SQL} AS minutes
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE l.l_returnflag = 'R'

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import not_flagged
 from quarry.operators import (anti, anti_by_outer_join, broadcast_if_small, cents, fanout, semi,
                               top_k)
 from quarry.plans.registry import report
@@ -316,3 +317,55 @@ def orders_per_customer_label(spark, sf_dir):
     return j.select("c_custkey",
                     F.when(F.col("c_acctbal") > 5000, "high balance").otherwise("standard").alias("balance_label"),
                     F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
+
+
+@report("flag_not_excluded", ops=("F11", "J5", "P5", "P6"), sql="""
+SELECT d.doc_id, d.lang, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.toxic IS NULL OR l.toxic = 0
+""")
+def flag_not_excluded(spark, sf_dir):
+    """Documents not flagged toxic, NULL-tolerant: unlabelled documents stay (E11:125, E12:74).
+
+    ``toxic != 1`` would silently drop every document without a label.  Table
+    aliases qualify the shared ``doc_id``; an unqualified reference would be
+    ambiguous (E07:59).
+    """
+    t = Tables(spark, sf_dir)
+    d = t.documents.select("doc_id", "lang").alias("d")
+    lab = broadcast_if_small(t.labels).alias("l")
+    j = d.join(lab, F.col("d.doc_id") == F.col("l.doc_id"), "left")
+    return j.filter(not_flagged(F.col("l.toxic"))).select(
+        F.col("d.doc_id").alias("doc_id"), F.col("d.lang").alias("lang"),
+        F.col("l.quality").alias("quality"), F.col("l.toxic").alias("toxic"))
+
+
+@report("clean_join_counts", ops=("D7", "F11", "J13", "A1", "A3", "J2"), sql="""
+WITH raw AS (SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_orderstatus
+             FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey)
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_customers,
+       (SELECT COUNT(DISTINCT c_custkey) FROM raw
+         WHERE NOT (c_acctbal < 0) AND (o_orderstatus IS NULL OR o_orderstatus <> 'P')) AS n_clean_customers,
+       (SELECT COUNT(*) FROM raw
+         WHERE NOT (c_acctbal < 0) AND (o_orderstatus IS NULL OR o_orderstatus <> 'P')) AS n_clean_rows
+FROM raw
+""")
+def clean_join_counts(spark, sf_dir):
+    """Join counts raw / distinct / with flagged rows removed on both sides (E12:84-126):
+    test accounts on the customer side, pending orders on the order side.
+
+    Each side is reduced to (customer, order count) before the join, so the
+    distinct-customer counts come from one row per customer.
+    """
+    t = Tables(spark, sf_dir)
+    o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
+    per_cust = o.groupBy("c_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.count_if(not_flagged("o_orderstatus", "P")).alias("n_clean_orders"))
+    c = t.customer.select("c_custkey", (F.col("c_acctbal") < 0).alias("is_test"))
+    j = c.join(per_cust, "c_custkey")
+    clean = (~F.col("is_test")) & (F.col("n_clean_orders") > 0)
+    return j.agg(F.sum("n_orders").alias("n_rows"), F.count(F.lit(1)).alias("n_customers"),
+                 F.count_if(clean).alias("n_clean_customers"),
+                 F.coalesce(F.sum(F.when(~F.col("is_test"), F.col("n_clean_orders"))), F.lit(0))
+                 .alias("n_clean_rows"))
