@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import not_flagged, two_way, whole_units_between
+from quarry.functions import map_values, not_flagged, two_way, weekday_name, whole_units_between
 from quarry.operators import anti, broadcast_if_small, semi
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
-from quarry.sources import Tables
+from quarry.sources import Tables, register_views
 
 
 @report("group_by_right_key_null", ops=("A19", "J5", "A20"), sql="""
@@ -149,3 +149,100 @@ def distinct_keys_per_table(spark, sf_dir):
     n_events = t.events.agg(F.countDistinct("user_id")).scalar()
     return t.customer.agg(F.countDistinct("c_custkey").alias("n_customers")).select(
         "n_customers", n_orders.alias("n_ordering_customers"), n_events.alias("n_active_users"))
+
+
+@report("sql_ordinals_lateral_alias", ops=("P8", "A12", "A13", "O3", "A16", "S2"), sql="""
+SELECT l_suppkey, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS num_days,
+       CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents,
+       CAST(revenue_cents AS DOUBLE) / 100 / num_days AS daily_revenue
+FROM lineitem
+WHERE l_returnflag <> 'R'
+GROUP BY 1
+HAVING num_days >= 20
+ORDER BY 4 DESC, 1
+""")
+def sql_ordinals_lateral_alias(spark, sf_dir):
+    """The SQL face: GROUP BY / ORDER BY ordinals, a lateral column alias reused in the
+    same SELECT, HAVING on an alias (E05:137-141, TE:34-40, TE:79-80)."""
+    register_views(spark, sf_dir, ["lineitem"])
+    return spark.sql("""
+        SELECT l_suppkey, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS num_days,
+               SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS revenue_cents,
+               CAST(revenue_cents AS DOUBLE) / 100 / num_days AS daily_revenue
+        FROM lineitem
+        WHERE l_returnflag <> 'R'
+        GROUP BY 1
+        HAVING num_days >= 20
+        ORDER BY 4 DESC, 1""")
+
+
+@report("events_per_type_month", ops=("A12", "X5", "A11"), sql="""
+SELECT event_type, CAST(month(ts) AS INTEGER) AS event_month, COUNT(*) AS n_events
+FROM events GROUP BY 1, 2
+""")
+def events_per_type_month(spark, sf_dir):
+    """Counts per name and month: grouping on a derived date part (E05:82-91)."""
+    e = Tables(spark, sf_dir).events
+    return e.groupBy("event_type", F.month("ts").alias("event_month")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
+# Nation groups for the IN-list labelling report.
+NATION_GROUP_1 = ["NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4"]
+NATION_GROUP_2 = ["NATION_5", "NATION_6", "NATION_7", "NATION_8", "NATION_9"]
+NATION_GROUP_3 = ["NATION_10", "NATION_11", "NATION_12"]
+
+
+@report("nation_groups", ops=("X14", "F4", "A3", "J2"), sql="""
+SELECT CASE WHEN n.n_name IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') THEN 'Group 1'
+            WHEN n.n_name IN ('NATION_5', 'NATION_6', 'NATION_7', 'NATION_8', 'NATION_9') THEN 'Group 2'
+            WHEN n.n_name IN ('NATION_10', 'NATION_11', 'NATION_12') THEN 'Group 3'
+            ELSE 'Group 4' END AS nation_group,
+       COUNT(DISTINCT c.c_custkey) AS n_customers
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY 1
+""")
+def nation_groups(spark, sf_dir):
+    """Labels from IN lists with an else group, consistently spelled (E10:394-404, R19)."""
+    t = Tables(spark, sf_dir)
+    nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    j = t.customer.select("c_custkey", "c_nationkey").join(broadcast_if_small(nation), "c_nationkey")
+    n = F.col("n_name")
+    label = (F.when(n.isin(NATION_GROUP_1), "Group 1").when(n.isin(NATION_GROUP_2), "Group 2")
+             .when(n.isin(NATION_GROUP_3), "Group 3").otherwise("Group 4"))
+    return j.groupBy(label.alias("nation_group")).agg(F.countDistinct("c_custkey").alias("n_customers"))
+
+
+@report("segment_purity_orders", ops=("X15", "X13", "A17", "J2"), sql="""
+WITH per_cust AS (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey)
+SELECT CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'vehicles' WHEN 'MACHINERY' THEN 'vehicles'
+            ELSE 'other' END AS segment_kind,
+       COUNT(*) AS n_customers, AVG(p.n_orders) AS avg_orders
+FROM customer c JOIN per_cust p ON c.c_custkey = p.o_custkey
+GROUP BY 1
+""")
+def segment_purity_orders(spark, sf_dir):
+    """A simple-CASE grouping label, then the average of a per-entity count (E11:242-283)."""
+    t = Tables(spark, sf_dir)
+    per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+    kind = map_values("c_mktsegment", {"AUTOMOBILE": "vehicles", "MACHINERY": "vehicles"}, "other")
+    j = t.customer.select("c_custkey", "c_mktsegment").join(per_cust, "c_custkey")
+    return j.groupBy(kind.alias("segment_kind")).agg(F.count(F.lit(1)).alias("n_customers"),
+                                                     F.avg("n_orders").alias("avg_orders"))
+
+
+@report("year_weekday_clean_users", ops=("J13", "D7", "F11", "X7", "A12"), sql="""
+SELECT CAST(year(e.ts) AS INTEGER) AS event_year, dayname(e.ts) AS weekday, COUNT(*) AS n_events
+FROM events e
+JOIN (SELECT DISTINCT c_custkey FROM customer WHERE NOT (c_acctbal < 0)) c ON e.user_id = c.c_custkey
+WHERE e.event_type IS NULL OR e.event_type <> 'error'
+GROUP BY 1, 2
+""")
+def year_weekday_clean_users(spark, sf_dir):
+    """Events per year and weekday for de-duplicated, non-test users, flagged events
+    removed NULL-tolerantly (E12:101-150)."""
+    t = Tables(spark, sf_dir)
+    clean = t.customer.filter(~(F.col("c_acctbal") < 0)).select(F.col("c_custkey").alias("user_id")).distinct()
+    e = t.events.filter(not_flagged("event_type", "error")).select("user_id", "ts")
+    j = e.join(broadcast_if_small(clean), "user_id")
+    return j.groupBy(F.year("ts").alias("event_year"), weekday_name("ts").alias("weekday")).agg(
+        F.count(F.lit(1)).alias("n_events"))

@@ -138,3 +138,23 @@ def test_profile_and_blanks(spark):
     assert typed == {"id": "int", "category": "string"}
     kinds = {r.kind: r.n_rows for r in blank_null_breakdown(df, "category").collect()}
     assert kinds == {"Null": 1, "StrNull": 1, "Else": 2}
+
+
+def test_unqualified_shared_column_is_ambiguous(spark):
+    """A column name both sides share must be qualified through a table alias."""
+    from pyspark.errors import AnalysisException
+    a = spark.createDataFrame([(1, "x")], "k int, v string").alias("a")
+    b = spark.createDataFrame([(1, "y")], "k int, v string").alias("b")
+    j = a.join(b, F.col("a.k") == F.col("b.k"))
+    with pytest.raises(AnalysisException):
+        j.select("v").collect()
+    assert j.select(F.col("a.v"), F.col("b.v")).first() == ("x", "y")
+
+
+def test_derived_table_inner_alias_not_visible_outside(spark):
+    """Names inside a derived table are only what it selects."""
+    from pyspark.errors import AnalysisException
+    spark.createDataFrame([(1, 2)], "k int, v int").createOrReplaceTempView("t_scope")
+    with pytest.raises(AnalysisException):
+        spark.sql("SELECT inner_t.v FROM (SELECT k FROM t_scope AS inner_t) AS sub").collect()
+    assert spark.sql("SELECT sub.k FROM (SELECT k FROM t_scope) AS sub").first()[0] == 1
