@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest side we hint for broadcast: every executor holds a copy.
@@ -56,8 +56,12 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 
 
 def keyed_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Equi-join that requires a condition."""
-    if on is None or (not isinstance(on, str) and not hasattr(on, "_jc") and len(_keys(on)) == 0):
+    """Join that requires a condition (J1-J7, J16): column name(s) or a Column expression.
+
+    A missing condition - the accidental Cartesian product of J8 - raises.
+    """
+    is_column = isinstance(on, Column)
+    if on is None or (not is_column and not isinstance(on, str) and len(list(on)) == 0):
         raise ValueError("keyed_join needs a join condition; a Cartesian product is not allowed")
     return left.join(right, on, how)
 
