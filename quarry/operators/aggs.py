@@ -55,13 +55,14 @@ def representative(value, *order) -> Column:
     return F.min(F.struct(*[_c(o) for o in order], v.alias("_v")))["_v"]
 
 
-def spread(col, prefix: str, median_exact: bool = True) -> list[Column]:
+def spread(col, prefix: str, median_exact: bool = False) -> list[Column]:
     """Mean, population/sample standard deviation, median and coefficient of variation.
 
-    ``median_exact`` uses Spark's exact percentile, whose per-group state is a
-    value→count map: bounded when the column has a bounded domain (quantities,
-    ratings).  For unbounded doubles pass ``False`` for the sketch-based
-    ``percentile_approx`` with fixed memory per group.
+    The median is by default the sketch-based ``percentile_approx``: fixed
+    memory per group however large or skewed the group.  ``median_exact=True``
+    uses Spark's exact percentile, whose per-group state is a value→count map -
+    only bounded when the column has a bounded domain (whole quantities,
+    ratings 0-9), which the caller must know.
     """
     c = _c(col)
     med = F.median(c) if median_exact else F.percentile_approx(c, 0.5, 10000)
