@@ -1,7 +1,7 @@
 """Safe arithmetic for ratios and period comparisons.
 
 Division goes through ``try_divide``: a zero or NULL denominator gives NULL
-(MySQL's behaviour) instead of an ANSI error that would kill the job.
+(the original dialect's behaviour) instead of an ANSI error that would kill the job.
 """
 
 from __future__ import annotations

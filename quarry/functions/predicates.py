@@ -1,4 +1,4 @@
-"""Row predicates with the reference's NULL, blank and letter-case rules.
+"""Row predicates with the original queries' NULL, blank and letter-case rules.
 
 All return Columns built from built-in expressions, so they stay inside
 whole-stage codegen.  Date predicates are written as ranges on the raw column

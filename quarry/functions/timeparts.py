@@ -1,6 +1,6 @@
 """Date parts, durations and shifts.
 
-MySQL/Teradata names → Spark built-ins:
+SQL dialect names → Spark built-ins:
   YEAR/MONTH/DAY, EXTRACT   → year / month / dayofmonth / extract
   DAYNAME (full name)       → date_format(ts, 'EEEE')   (Spark's dayname gives 'Tue')
   DAYOFWEEK (1 = Sunday)    → dayofweek                  (same numbering)

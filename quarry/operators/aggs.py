@@ -46,7 +46,7 @@ def attr_strict(col, name: str = "value") -> Column:
 
 
 def representative(value, *order) -> Column:
-    """A deterministic stand-in for MySQL's loose GROUP BY column.
+    """A deterministic stand-in for a loose GROUP BY column.
 
     The value on the row with the smallest ``order`` tuple; ties in the tuple
     are broken by the value itself, so reruns (and recomputed tasks) agree.

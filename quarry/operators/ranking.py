@@ -25,7 +25,7 @@ def best_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                   keep: int = 1, method: str = "rank", rank_col: str = "rnk") -> DataFrame:
     """Rows ranked ``<= keep`` within each group (W1, W2 = QUALIFY rank <= k).
 
-    ``rank`` keeps ties (the reference's RANK), ``row_number`` one per group.
+    ``rank`` keeps ties (RANK), ``row_number`` one per group.
     Spark turns the rank filter into a per-partition WindowGroupLimit before
     the shuffle, so only candidate rows travel.
     """

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import (WEEKDAYS_MONDAY_FIRST, clean_label, ci_eq, ci_like, drop_period,
+from quarry.functions import (WEEKDAYS_MONDAY_FIRST, ci_eq, ci_like, clean_label, drop_period,
                               in_period, not_blank, order_by_list, shift_hours, ts_literal,
-                              weekday_name, weekday_number, whole_units_between)
+                              weekday_name, weekday_number)
 from quarry.operators import page, top_k
 from quarry.plans.registry import report
 from quarry.sources import Tables, register_views
@@ -41,7 +41,7 @@ SELECT l_orderkey, l_linenumber, l_quantity,
 FROM lineitem
 """)
 def project_alias_arith(spark, sf_dir):
-    """Chosen columns, derived arithmetic, aliases with spaces (E01:359, E03:52)."""
+    """Chosen columns, derived arithmetic, aliases with spaces."""
     li = Tables(spark, sf_dir).lineitem
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return li.select("l_orderkey", "l_linenumber", "l_quantity", net.alias("net price"),
@@ -60,7 +60,7 @@ SELECT COUNT(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40 OR l_discou
 FROM lineitem
 """)
 def filter_compare_logic(spark, sf_dir):
-    """Comparison and logic operators with the NOT > AND > OR precedence made explicit (E02, E10:312)."""
+    """Comparison and logic operators with the NOT > AND > OR precedence made explicit."""
     li = Tables(spark, sf_dir).lineitem
     r, q, d = F.col("l_returnflag") == "R", F.col("l_quantity"), F.col("l_discount")
     return li.agg(
@@ -84,7 +84,7 @@ SELECT COUNT(*) AS n_rows,
 FROM c
 """)
 def filter_in_notin_null(spark, sf_dir):
-    """IN / NOT IN (NULL rows fall out of both), IS [NOT] NULL, blank vs NULL (E02:153, E05:168)."""
+    """IN / NOT IN (NULL rows fall out of both), IS [NOT] NULL, blank vs NULL."""
     c = Tables(spark, sf_dir).customer.select(segment_with_gaps().alias("seg"))
     seg = F.col("seg")
     return c.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -105,7 +105,7 @@ FROM part
 WHERE p_name ILIKE '%RING%' OR p_name ILIKE 's%' OR p_name ILIKE '%T' OR lower(p_type) = 'small'
 """)
 def filter_like_ci(spark, sf_dir):
-    """LIKE patterns and equality under case-insensitive matching (E02:134, F10)."""
+    """LIKE patterns and equality under case-insensitive matching."""
     p = Tables(spark, sf_dir).part
     flags = {"has_ring": ci_like("p_name", "%RING%"), "starts_s": ci_like("p_name", "s%"),
              "ends_t": ci_like("p_name", "%T"), "is_small": ci_eq("p_type", "small")}
@@ -121,7 +121,7 @@ WHERE o_orderdate > TIMESTAMP '1997-02-04' AND year(o_orderdate) = 1997
   AND (dayname(o_orderdate) = 'Tuesday' OR day(o_orderdate) > 15)
 """)
 def filter_date_literal_parts(spark, sf_dir):
-    """Date literal comparison and date-part predicates (E02:178-210, E02:267).
+    """Date literal comparison and date-part predicates.
 
     The year test is a timestamp range, so it reaches the Parquet scan.
     """
@@ -136,7 +136,7 @@ def filter_date_literal_parts(spark, sf_dir):
 SELECT DISTINCT {SEG_SQL} AS seg, c_nationkey FROM customer
 """)
 def distinct_combinations(spark, sf_dir):
-    """Unique (segment, nation) combinations; the NULL segment is one value (E03:79-145)."""
+    """Unique (segment, nation) combinations; the NULL segment is one value."""
     c = Tables(spark, sf_dir).customer
     return (c.select(segment_with_gaps().alias("seg"), "c_nationkey").distinct()
             .orderBy(F.col("seg").asc_nulls_first(), "c_nationkey"))
@@ -146,7 +146,7 @@ def distinct_combinations(spark, sf_dir):
 SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 5
 """)
 def page_offset(spark, sf_dir):
-    """Rows 6-15 in key order: LIMIT 10 OFFSET 5 (E01:272)."""
+    """Rows 6-15 in key order: LIMIT 10 OFFSET 5."""
     c = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_nationkey")
     return page(c, [F.col("c_custkey")], offset=5, n=10)
 
@@ -155,7 +155,7 @@ def page_offset(spark, sf_dir):
 SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10
 """)
 def topk_first_orders(spark, sf_dir):
-    """The first ten orders ever, key as tie-break (E03:412)."""
+    """The first ten orders ever, key as tie-break."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return top_k(o, 10, [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()])
 
@@ -168,7 +168,7 @@ SELECT DISTINCT o_orderpriority,
 FROM orders
 """)
 def text_replace_trim_upper(spark, sf_dir):
-    """REPLACE, TRIM(LEADING … FROM …), UPPER on a label column (E03:332-439)."""
+    """REPLACE, TRIM(LEADING … FROM …), UPPER on a label column."""
     o = Tables(spark, sf_dir).orders.select("o_orderpriority").distinct()
     name = clean_label("o_orderpriority", strip_leading="0123456789-")
     return o.select("o_orderpriority",
@@ -183,7 +183,7 @@ SELECT DISTINCT p_name, upper(p_name) AS name_upper, replace(p_name, ' ', '-') A
 FROM part
 """)
 def clean_part_names(spark, sf_dir):
-    """Distinct cleaned labels: upper-case, replaced separators, stripped prefix (E03:352-439)."""
+    """Distinct cleaned labels: upper-case, replaced separators, stripped prefix."""
     p = Tables(spark, sf_dir).part.select("p_name", "p_brand")
     return p.select("p_name", F.upper("p_name").alias("name_upper"),
                     clean_label("p_name", replace=(" ", "-")).alias("name_dashed"),
@@ -195,7 +195,7 @@ SELECT event_id, ts, CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday_num, dayname(
 FROM events
 """)
 def weekday_per_row(spark, sf_dir):
-    """Weekday number (1 = Sunday) and full name per row (E12:33-48)."""
+    """Weekday number (1 = Sunday) and full name per row."""
     e = Tables(spark, sf_dir).events
     return e.select("event_id", "ts", weekday_number("ts").alias("weekday_num"),
                     weekday_name("ts").alias("weekday"))
@@ -207,7 +207,7 @@ SELECT dayname(ts) AS weekday, CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday_num
 FROM events GROUP BY 1, 2
 """)
 def weekday_counts(spark, sf_dir):
-    """Events and distinct users per weekday (E12:56)."""
+    """Events and distinct users per weekday."""
     e = Tables(spark, sf_dir).events
     return e.groupBy(weekday_name("ts").alias("weekday"), weekday_number("ts").alias("weekday_num")) \
         .agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"))
@@ -223,7 +223,7 @@ FROM s GROUP BY 1, 2, 3
 ORDER BY local_year, day_order
 """)
 def year_weekday_shifted(spark, sf_dir, hours: int = -6):
-    """Events per year and weekday after a fixed UTC-6h shift, in calendar order (E12:153-239)."""
+    """Events per year and weekday after a fixed UTC-6h shift, in calendar order."""
     e = Tables(spark, sf_dir).events.filter(~F.col("event_type").isin("error", "signup"))
     s = e.select(shift_hours("ts", hours).alias("local_ts"))
     wd = weekday_name("local_ts")
@@ -238,7 +238,7 @@ SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMES
 """)
 def sql_select_star_views(spark, sf_dir):
     """The SQL face of the library: tables registered as views (``USE db`` / ``db.table``),
-    then ``SELECT *`` with filters that reach the Parquet scan (E01:75-120, E02:49)."""
+    then ``SELECT *`` with filters that reach the Parquet scan."""
     register_views(spark, sf_dir, ["orders"])
     return spark.sql("SELECT * FROM orders "
                      "WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP_NTZ '1998-01-01'")

@@ -40,7 +40,7 @@ SELECT COUNT(*) AS n_rows, COUNT(l.quality) AS n_quality, COUNT(DISTINCT d.lang)
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def counts_all_kinds(spark, sf_dir):
-    """COUNT(*), COUNT(col), COUNT(DISTINCT), SUM(ISNULL()) in one pass (E04:48-153)."""
+    """COUNT(*), COUNT(col), COUNT(DISTINCT), SUM(ISNULL()) in one pass."""
     t = Tables(spark, sf_dir)
     d = t.documents.select("doc_id", "lang")
     j = d.join(broadcast_if_small(t.labels.select("doc_id", "quality")), "doc_id", "left")
@@ -59,7 +59,7 @@ HAVING COUNT(*) >= 190 AND AVG(l_quantity) > 25
 ORDER BY l_suppkey, n_lines DESC
 """)
 def group_multi_having(spark, sf_dir, min_lines: int = 190, min_avg_qty: float = 25.0):
-    """Grouping by two keys with a two-condition HAVING, mixed-direction sort (E05:112-238)."""
+    """Grouping by two keys with a two-condition HAVING, mixed-direction sort."""
     li = Tables(spark, sf_dir).lineitem
     return (li.groupBy("l_suppkey", "l_returnflag")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("sum_qty"),
@@ -74,7 +74,7 @@ SELECT {SEG_SQL} AS seg, COUNT(*) AS n_customers, COUNT(DISTINCT c_nationkey) AS
 FROM customer GROUP BY 1
 """)
 def group_null_key(spark, sf_dir):
-    """NULL keys form one group (E08:157-177)."""
+    """NULL keys form one group."""
     c = Tables(spark, sf_dir).customer
     return c.groupBy(segment_with_gaps().alias("seg")).agg(
         F.count(F.lit(1)).alias("n_customers"), F.countDistinct("c_nationkey").alias("n_nations"))
@@ -86,7 +86,7 @@ SELECT c_mktsegment, COUNT(*) AS n_customers, ROUND(SUM(c_acctbal), 2) AS total_
 FROM customer GROUP BY ROLLUP (c_mktsegment)
 """)
 def total_and_groups(spark, sf_dir):
-    """Per-segment rows and the overall total in one query, via ROLLUP (E06:136)."""
+    """Per-segment rows and the overall total in one query, via ROLLUP."""
     c = Tables(spark, sf_dir).customer
     out = with_total(c, ["c_mktsegment"], [F.count(F.lit(1)).alias("n_customers"),
                                            F.round(F.sum("c_acctbal"), 2).alias("total_balance")])
@@ -104,7 +104,7 @@ FROM customer c JOIN per_cust p ON c.c_custkey = p.o_custkey
 GROUP BY c.c_mktsegment
 """)
 def agg_of_agg_orders_per_customer(spark, sf_dir):
-    """Orders per customer, then mean/spread per segment (E11:69-83)."""
+    """Orders per customer, then mean/spread per segment."""
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
     j = t.customer.select("c_custkey", "c_mktsegment").join(
@@ -124,7 +124,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_type
 """)
 def spread_by_group(spark, sf_dir, cv_limit: float = 0.5):
-    """Mean, population and sample spread, median, and a mean-reliability flag per department (E11:303-340)."""
+    """Mean, population and sample spread, median, and a mean-reliability flag per department."""
     t = Tables(spark, sf_dir)
     part = broadcast_if_small(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"))
     j = t.lineitem.select("l_partkey", "l_quantity").join(part, "l_partkey")
@@ -146,7 +146,7 @@ SELECT l_orderkey, COUNT(*) AS n_lines,
 FROM lineitem GROUP BY l_orderkey
 """)
 def attr_and_representative(spark, sf_dir):
-    """Deterministic replacements for MySQL's loose GROUP BY column (E06:33-132):
+    """Deterministic replacements for a loose GROUP BY column:
     the value when constant within the group, and the value of the first line."""
     li = Tables(spark, sf_dir).lineitem
     return li.groupBy("l_orderkey").agg(
@@ -169,7 +169,7 @@ SELECT seg,
 FROM c GROUP BY 1, 2, 3, 4
 """)
 def if_case_equivalence(spark, sf_dir):
-    """Nested IF = searched CASE = simple CASE, NULL falling to the else branch (E10:97-195)."""
+    """Nested IF = searched CASE = simple CASE, NULL falling to the else branch."""
     c = Tables(spark, sf_dir).customer.select(segment_with_gaps().alias("seg"))
     seg = F.col("seg")
     label_if = two_way(seg == "BUILDING", F.lit("construction"),
@@ -204,7 +204,7 @@ SELECT balance_class, COUNT(*) AS n_customers, {_money_avg_sql('c_acctbal')} AS
 FROM c GROUP BY balance_class
 """)
 def bin_balance(spark, sf_dir):
-    """Range classes with an else label, then per-class statistics (E10:248, TQ:187-257)."""
+    """Range classes with an else label, then per-class statistics."""
     c = Tables(spark, sf_dir).customer
     return c.groupBy(bin_by("c_acctbal", BALANCE_BINS, "out_of_range").alias("balance_class")).agg(
         F.count(F.lit(1)).alias("n_customers"), money_avg("c_acctbal").alias("avg_balance"),
@@ -220,7 +220,7 @@ FROM customer c JOIN first_order f ON c.c_custkey = f.o_custkey
 GROUP BY 1, 2
 """)
 def segment_early_late(spark, sf_dir, cutoff: str = "1995-06-01"):
-    """Customers labelled early/late by their first order, counted per segment (E10:57-63)."""
+    """Customers labelled early/late by their first order, counted per segment."""
     t = Tables(spark, sf_dir)
     first = t.orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
     j = t.customer.select("c_custkey", "c_mktsegment").join(first, F.col("c_custkey") == F.col("o_custkey"))
@@ -253,7 +253,7 @@ WHERE {_MINUTES_SQL} > 0
 GROUP BY l.l_returnflag
 """)
 def duration_minutes_stats(spark, sf_dir):
-    """Mean/min/max whole-minute duration over positive durations only (E04:194-274, R14)."""
+    """Mean/min/max whole-minute duration over positive durations only."""
     d = _durations(Tables(spark, sf_dir)).filter(F.col("minutes") > 0)
     return d.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n_lines"), F.avg("minutes").alias("avg_minutes"),
@@ -270,7 +270,7 @@ SELECT COUNT(*) FILTER (WHERE l.l_shipdate < o.o_orderdate) AS n_negative,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """)
 def negative_durations(spark, sf_dir):
-    """End before start, and zero durations from truncation vs identical times (E04:203-266)."""
+    """End before start, and zero durations from truncation vs identical times."""
     d = _durations(Tables(spark, sf_dir))
     return d.agg(F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("n_negative"),
                  F.min("minutes").alias("min_minutes"),
@@ -288,7 +288,7 @@ WHERE l.l_returnflag = 'R'
                         WHERE l.l_returnflag = 'R')
 """)
 def rows_above_average_duration(spark, sf_dir):
-    """Rows whose duration exceeds the average, via a scalar subquery (E09:49-81)."""
+    """Rows whose duration exceeds the average, via a scalar subquery."""
     d = _durations(Tables(spark, sf_dir)).filter(F.col("l_returnflag") == "R")
     avg_minutes = d.agg(F.avg("minutes")).scalar()
     return d.filter(F.col("minutes") > avg_minutes).select("l_orderkey", "l_linenumber", "minutes")

@@ -39,7 +39,7 @@ FROM b JOIN r ON b.l_partkey = r.l_partkey AND b.l_suppkey = r.l_suppkey
 GROUP BY b.l_partkey, b.l_suppkey
 """)
 def join_inner_two_keys(spark, sf_dir):
-    """Purchases matched to returns on both keys (part, supplier), averaged per pair (E07:127).
+    """Purchases matched to returns on both keys (part, supplier), averaged per pair.
 
     The pairwise join would emit n_bought x n_returned rows per pair; the same
     numbers come from one aggregate per side joined on the pair: the row count
@@ -68,7 +68,7 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY r.r_name, p.p_type
 """)
 def join_star_four(spark, sf_dir):
-    """Fact joined through four dimensions, revenue per region and department (TE:255, E07:232).
+    """Fact joined through four dimensions, revenue per region and department.
 
     Eager aggregation: after the part lookup the fact is reduced to one row per
     (supplier, department) before the geography joins, so those joins see
@@ -99,7 +99,7 @@ FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id
 GROUP BY c.c_custkey, c.c_mktsegment
 """)
 def join_left_counts(spark, sf_dir):
-    """Every customer with its number of events, zero included (E08:143)."""
+    """Every customer with its number of events, zero included."""
     t = Tables(spark, sf_dir)
     per_user = _events_per_user(t)
     c = t.customer.select("c_custkey", "c_mktsegment")
@@ -113,7 +113,7 @@ FROM (SELECT DISTINCT user_id FROM events) e RIGHT JOIN customer c ON e.user_id
 GROUP BY c.c_nationkey
 """)
 def join_right(spark, sf_dir):
-    """RIGHT JOIN keeps every customer: with and without activity per nation (E08:97)."""
+    """RIGHT JOIN keeps every customer: with and without activity per nation."""
     t = Tables(spark, sf_dir)
     users = t.events.select("user_id").distinct()
     j = users.join(t.customer.select("c_custkey", "c_nationkey"),
@@ -132,7 +132,7 @@ FROM a FULL OUTER JOIN b ON a.user_id = b.c_custkey
 GROUP BY 1
 """)
 def join_full(spark, sf_dir):
-    """FULL OUTER JOIN of buyers and one customer segment, classified by side (E08:250)."""
+    """FULL OUTER JOIN of buyers and one customer segment, classified by side."""
     t = Tables(spark, sf_dir)
     a = t.events.filter(F.col("event_type") == "purchase").select("user_id").distinct()
     b = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
@@ -154,7 +154,7 @@ SELECT
 """)
 def anti_three_ways(spark, sf_dir):
     """Customers without events, as LEFT JOIN/IS NULL, RIGHT JOIN/IS NULL, NOT EXISTS and
-    NOT IN - identical counts (E08:275-292, E09:160)."""
+    NOT IN - identical counts."""
     t = Tables(spark, sf_dir)
     c, e = t.customer.select("c_custkey"), t.events.select("user_id")
     left = anti_by_outer_join(c, e, "c_custkey", "user_id", side="left")
@@ -177,7 +177,7 @@ SELECT c.c_custkey, c.c_name FROM customer c
 WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey AND e.event_type = 'purchase')
 """)
 def semi_exists(spark, sf_dir):
-    """Customers with at least one purchase event; no duplication (E09:136)."""
+    """Customers with at least one purchase event; no duplication."""
     t = Tables(spark, sf_dir)
     buyers = t.events.filter(F.col("event_type") == "purchase").select(F.col("user_id").alias("c_custkey"))
     return semi(t.customer.select("c_custkey", "c_name"), buyers, "c_custkey")
@@ -194,7 +194,7 @@ GROUP BY f.o_orderkey, f.o_custkey
 """)
 def dedupe_before_join(spark, sf_dir, first_n: int = 100):
     """The first orders joined to their *distinct* line numbers, with the raw row count
-    for contrast: duplicate (order, line) rows do not multiply (E09:193-355).
+    for contrast: duplicate (order, line) rows do not multiply.
 
     The bounded left side (LIMIT) is broadcast; the fact is filtered by a
     broadcast semi-join before its de-duplication, so only matching lines move.
@@ -220,7 +220,7 @@ FROM orders o JOIN events e ON o.o_custkey = e.user_id
 GROUP BY o.o_custkey
 """)
 def join_fanout(spark, sf_dir):
-    """Rows the orders-events join would produce per customer = orders x events (E08:183-243)."""
+    """Rows the orders-events join would produce per customer = orders x events."""
     t = Tables(spark, sf_dir)
     return fanout(t.orders, t.events, "o_custkey", "user_id", key_name="key")
 
@@ -237,7 +237,7 @@ ORDER BY n_parts DESC, p.p_brand
 """)
 def brand_unlisted_parts(spark, sf_dir):
     """Brand with most skus sold through (sku, store) pairs missing from the listing table,
-    the listing being the pairs that had returns (TQ:69)."""
+    the listing being the pairs that had returns."""
     t = Tables(spark, sf_dir)
     li = t.lineitem
     keys = ["l_partkey", "l_suppkey"]
@@ -258,7 +258,7 @@ ORDER BY n_customers DESC, n.n_name
 LIMIT 5
 """)
 def top_nations_by_active_customers(spark, sf_dir, k: int = 5):
-    """Top nations by distinct active customers; events de-duplicated before the join (E12:257)."""
+    """Top nations by distinct active customers; events de-duplicated before the join."""
     t = Tables(spark, sf_dir)
     users = t.events.select(F.col("user_id").alias("c_custkey")).distinct()
     j = (users.join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
@@ -274,7 +274,7 @@ FROM events e JOIN customer c ON e.user_id = c.c_custkey
 GROUP BY c.c_mktsegment
 """)
 def users_per_segment(spark, sf_dir):
-    """Distinct active users and events per customer segment (E07:287)."""
+    """Distinct active users and events per customer segment."""
     t = Tables(spark, sf_dir)
     per_user = _events_per_user(t)
     j = per_user.join(t.customer.select("c_custkey", "c_mktsegment"),
@@ -292,7 +292,7 @@ ORDER BY n_events DESC, c.c_mktsegment
 LIMIT 3
 """)
 def top_segments_by_events(spark, sf_dir, k: int = 3):
-    """Top segments by click activity (E07:299)."""
+    """Top segments by click activity."""
     t = Tables(spark, sf_dir)
     per_user = _events_per_user(t, "click")
     j = per_user.join(t.customer.select("c_custkey", "c_mktsegment"),
@@ -308,7 +308,7 @@ FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey, c.c_acctbal
 """)
 def orders_per_customer_label(spark, sf_dir):
-    """Orders per customer with a label derived from a column of the grouped side (E10:373)."""
+    """Orders per customer with a label derived from a column of the grouped side."""
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"))
@@ -325,11 +325,11 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE l.toxic IS NULL OR l.toxic = 0
 """)
 def flag_not_excluded(spark, sf_dir):
-    """Documents not flagged toxic, NULL-tolerant: unlabelled documents stay (E11:125, E12:74).
+    """Documents not flagged toxic, NULL-tolerant: unlabelled documents stay.
 
     ``toxic != 1`` would silently drop every document without a label.  Table
     aliases qualify the shared ``doc_id``; an unqualified reference would be
-    ambiguous (E07:59).
+    ambiguous.
     """
     t = Tables(spark, sf_dir)
     d = t.documents.select("doc_id", "lang").alias("d")
@@ -351,7 +351,7 @@ SELECT COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_customers,
 FROM raw
 """)
 def clean_join_counts(spark, sf_dir):
-    """Join counts raw / distinct / with flagged rows removed on both sides (E12:84-126):
+    """Join counts raw / distinct / with flagged rows removed on both sides:
     test accounts on the customer side, pending orders on the order side.
 
     Each side is reduced to (customer, order count) before the join, so the

@@ -21,7 +21,7 @@ GROUP BY e.user_id
 """)
 def group_by_right_key_null(spark, sf_dir):
     """Grouping a LEFT JOIN by the right side's key: every unmatched row lands in one
-    NULL group - the "wrong key" lesson (E08:158-177)."""
+    NULL group - the "wrong key" lesson."""
     t = Tables(spark, sf_dir)
     users = t.events.select("user_id").distinct()
     j = t.customer.select("c_custkey").join(users, F.col("c_custkey") == F.col("user_id"), "left")
@@ -36,7 +36,7 @@ SELECT
     WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')) AS n_orders_not_in
 """)
 def in_subquery_counts(spark, sf_dir):
-    """``IN (subquery)`` and ``NOT IN (subquery)`` counts (E09:93-133).
+    """``IN (subquery)`` and ``NOT IN (subquery)`` counts.
 
     IN is a semi-join against the subquery's distinct keys; NOT IN is an
     anti-join that returns nothing when the subquery yields a NULL key.
@@ -63,7 +63,7 @@ GROUP BY c.c_custkey
 """)
 def first_last_per_customer(spark, sf_dir):
     """First, last and total orders of the customers whose segment is blank - not NULL
-    (E11:114-170)."""
+   ."""
     t = Tables(spark, sf_dir)
     blank = t.customer.select("c_custkey", segment_with_gaps().alias("seg")).filter(F.col("seg") == "")
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
@@ -85,7 +85,7 @@ FROM per_source GROUP BY lang
 """)
 def docs_per_source_by_lang(spark, sf_dir):
     """Documents per source, then the mean per language, excluding flagged documents
-    NULL-tolerantly (E11:128-229)."""
+    NULL-tolerantly."""
     t = Tables(spark, sf_dir)
     d = t.documents.select("doc_id", "lang", "source").filter(F.col("lang").isin("en", "fr", "de"))
     j = d.join(broadcast_if_small(t.labels.select("doc_id", "toxic")), "doc_id", "left")
@@ -107,7 +107,7 @@ HAVING AVG(date_sub('hour', o.o_orderdate, l.l_shipdate)) > 24
 """)
 def duration_hours_by_priority(spark, sf_dir, min_avg_hours: float = 24.0):
     """Mean and spread of positive whole-hour durations per order priority, groups with a
-    mean above a threshold (E05:206-213, E11:331-337)."""
+    mean above a threshold."""
     t = Tables(spark, sf_dir)
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
     j = t.lineitem.select("l_orderkey", "l_shipdate").join(o, "l_orderkey")
@@ -125,7 +125,7 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON
 GROUP BY 1
 """)
 def customers_home_region(spark, sf_dir, home: str = "AMERICA"):
-    """Customers inside / outside one region, distinct counts per label (E10:69-84)."""
+    """Customers inside / outside one region, distinct counts per label."""
     t = Tables(spark, sf_dir)
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     region = t.region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
@@ -143,7 +143,7 @@ SELECT (SELECT COUNT(DISTINCT c_custkey) FROM customer) AS n_customers,
        (SELECT COUNT(DISTINCT user_id) FROM events) AS n_active_users
 """)
 def distinct_keys_per_table(spark, sf_dir):
-    """How many distinct customers each table mentions (E07:160-175, E08:172)."""
+    """How many distinct customers each table mentions."""
     t = Tables(spark, sf_dir)
     n_orders = t.orders.agg(F.countDistinct("o_custkey")).scalar()
     n_events = t.events.agg(F.countDistinct("user_id")).scalar()
@@ -163,7 +163,7 @@ ORDER BY 4 DESC, 1
 """)
 def sql_ordinals_lateral_alias(spark, sf_dir):
     """The SQL face: GROUP BY / ORDER BY ordinals, a lateral column alias reused in the
-    same SELECT, HAVING on an alias (E05:137-141, TE:34-40, TE:79-80)."""
+    same SELECT, HAVING on an alias."""
     register_views(spark, sf_dir, ["lineitem"])
     return spark.sql("""
         SELECT l_suppkey, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS num_days,
@@ -181,7 +181,7 @@ SELECT event_type, CAST(month(ts) AS INTEGER) AS event_month, COUNT(*) AS n_even
 FROM events GROUP BY 1, 2
 """)
 def events_per_type_month(spark, sf_dir):
-    """Counts per name and month: grouping on a derived date part (E05:82-91)."""
+    """Counts per name and month: grouping on a derived date part."""
     e = Tables(spark, sf_dir).events
     return e.groupBy("event_type", F.month("ts").alias("event_month")).agg(F.count(F.lit(1)).alias("n_events"))
 
@@ -202,7 +202,7 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY 1
 """)
 def nation_groups(spark, sf_dir):
-    """Labels from IN lists with an else group, consistently spelled (E10:394-404, R19)."""
+    """Labels from IN lists with an else group, consistently spelled."""
     t = Tables(spark, sf_dir)
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     j = t.customer.select("c_custkey", "c_nationkey").join(broadcast_if_small(nation), "c_nationkey")
@@ -221,7 +221,7 @@ FROM customer c JOIN per_cust p ON c.c_custkey = p.o_custkey
 GROUP BY 1
 """)
 def segment_purity_orders(spark, sf_dir):
-    """A simple-CASE grouping label, then the average of a per-entity count (E11:242-283)."""
+    """A simple-CASE grouping label, then the average of a per-entity count."""
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
     kind = map_values("c_mktsegment", {"AUTOMOBILE": "vehicles", "MACHINERY": "vehicles"}, "other")
@@ -239,7 +239,7 @@ GROUP BY 1, 2
 """)
 def year_weekday_clean_users(spark, sf_dir):
     """Events per year and weekday for de-duplicated, non-test users, flagged events
-    removed NULL-tolerantly (E12:101-150)."""
+    removed NULL-tolerantly."""
     t = Tables(spark, sf_dir)
     clean = t.customer.filter(~(F.col("c_acctbal") < 0)).select(F.col("c_custkey").alias("user_id")).distinct()
     e = t.events.filter(not_flagged("event_type", "error")).select("user_id", "ts")

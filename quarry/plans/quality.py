@@ -22,7 +22,7 @@ def _profile_sql(table: str, cols: list[str]) -> str:
 
 @report("profile_events", ops=("S3", "D1", "D13", "A1", "A2", "A3"), sql=_profile_sql("events", _EVENT_COLS))
 def profile_events(spark, sf_dir):
-    """Per column: rows, NULLs, non-NULLs, distinct values - DESCRIBE re-aimed (E01:131-175, E04:85-156)."""
+    """Per column: rows, NULLs, non-NULLs, distinct values - DESCRIBE re-aimed."""
     return profile_table(Tables(spark, sf_dir).events, _EVENT_COLS)
 
 
@@ -46,7 +46,7 @@ SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
 """)
 def duplicate_keys_report(spark, sf_dir):
-    """(order, line) keys that occur more than once: the table has no primary key (E01:178, E09:357)."""
+    """(order, line) keys that occur more than once: the table has no primary key."""
     return duplicate_keys(Tables(spark, sf_dir).lineitem, ["l_orderkey", "l_linenumber"])
 
 
@@ -58,7 +58,7 @@ UNION ALL
 SELECT 'customer' AS only_in, c.key, c.n_rows FROM c WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.key = c.key)
 """)
 def orphan_keys_report(spark, sf_dir):
-    """Keys on one side of the events-customer relation only, both directions (E08:275-306, E09:278)."""
+    """Keys on one side of the events-customer relation only, both directions."""
     t = Tables(spark, sf_dir)
     return orphan_keys(t.events, t.customer, "user_id", "c_custkey", "events", "customer")
 
@@ -69,7 +69,7 @@ SELECT CASE WHEN seg IS NULL THEN 'Null' WHEN seg = '' THEN 'StrNull' ELSE 'Else
 FROM (SELECT {SEG_SQL} AS seg FROM customer) GROUP BY 1
 """)
 def blank_null_breakdown_report(spark, sf_dir):
-    """NULL vs empty string vs value counts of a label column (E11:91-103)."""
+    """NULL vs empty string vs value counts of a label column."""
     c = Tables(spark, sf_dir).customer.select(segment_with_gaps().alias("seg"))
     return blank_null_breakdown(c, "seg")
 
@@ -83,7 +83,7 @@ GROUP BY 1
 """)
 def test_account_flag(spark, sf_dir):
     """Flag accounts by a marker convention - here an impossible (negative) balance - and
-    size what they would contribute (E08:232, E09:383)."""
+    size what they would contribute."""
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
     j = t.customer.select("c_custkey", "c_acctbal").join(per_cust, "c_custkey", "left")
@@ -101,7 +101,7 @@ SELECT COUNT(*) FILTER (WHERE l_discount < 0 OR l_discount > 1) AS n_bad_discoun
 FROM lineitem
 """)
 def impossible_values(spark, sf_dir):
-    """Counts of values no real transaction can have (the outlier hunts of E04:249, E11:340)."""
+    """Counts of values no real transaction can have (the outlier hunts of the duration lessons)."""
     li = Tables(spark, sf_dir).lineitem
     d = F.col("l_discount")
     return li.agg(F.count_if((d < 0) | (d > 1)).alias("n_bad_discount"),
@@ -116,7 +116,7 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHE
 """)
 def csv_roundtrip(spark, sf_dir):
     """Export the complete result of a selection as CSV into the shared folder, then read it
-    back with the table schema (E03:260-425).  Every task writes its own part file."""
+    back with the table schema.  Every task writes its own part file."""
     t = Tables(spark, sf_dir)
     sel = t.customer.filter(F.col("c_mktsegment") == "BUILDING")
     path = write_csv(sel, export_folder(spark, "customer-building"))

@@ -1,4 +1,4 @@
-"""The identities the reference's stated results obey, checked on the driver tables."""
+"""The identities the original lessons' stated results obey, checked on the driver tables."""
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,5 @@
 """Sources and sinks: explicit schemas, views, CSV round trip, month partitions."""
 
-from pyspark.sql import functions as F
-
 from quarry.functions import in_period
 from quarry.sources import (SCHEMAS, Tables, export_folder, materialize, month_partitions, read_csv,
                             register_views, write_by_month, write_csv)
