@@ -21,14 +21,17 @@ MARKERS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange
 def summarise(df) -> tuple[dict, list[str]]:
     plan = df._jdf.queryExecution().executedPlan().toString()
     counts = {m: plan.count(m) for m in MARKERS if plan.count(m)}
+    # The formatted explain lists every scan with its full PushedFilters / ReadSchema.
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     scans = []
-    for line in plan.splitlines():
-        if "FileScan parquet" in line:
-            table = re.search(r"/([a-z_]+)\.parquet", line)
-            pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
-            schema = re.search(r"ReadSchema: struct<([^>]*)>", line)
-            scans.append(f"{table.group(1) if table else '?'} cols=[{schema.group(1) if schema else ''}]"
-                         f" pushed=[{pushed.group(1)[:160] if pushed else ''}]")
+    for block in text.split("\n\n"):
+        if "Scan parquet" not in block or "ReadSchema" not in block:
+            continue
+        table = re.search(r"/([a-z_]+)\.parquet", block)
+        pushed = re.search(r"PushedFilters: \[(.*)\]", block)
+        schema = re.search(r"ReadSchema: struct<(.*)>", block)
+        scans.append(f"{table.group(1) if table else '?'} cols=[{schema.group(1) if schema else ''}]"
+                     f" pushed=[{pushed.group(1)[:200] if pushed else ''}]")
     return counts, scans
 
 
