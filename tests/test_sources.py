@@ -40,3 +40,11 @@ def test_month_partitions_prune(spark, sf_small):
     assert sel.count() == li.filter(in_period("l_shipdate", 1998, 8)).count()
     assert part.filter(month_partitions(1998, 8, exclude=True)).count() == \
         li.count() - li.filter(in_period("l_shipdate", 1998, 8)).count()
+
+
+def test_jdbc_reader_needs_bounds_for_partitioned_reads(spark):
+    import pytest
+
+    from quarry.sources.jdbc import read_table
+    with pytest.raises(ValueError):
+        read_table(spark, "jdbc:none://nowhere", "t", partition_column="id")
