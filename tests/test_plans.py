@@ -85,3 +85,28 @@ def test_hot_key_fanout_and_semi(spark, hot):
     assert f["HOT"] == 200 * 200
     assert sum(f.values()) == hot.join(other, hot["store"] == other["k"]).count()
     assert semi(hot, other.withColumnRenamed("k", "store"), "store").count() == hot.count()
+
+
+def test_salted_join_equals_plain_join_with_hot_key(spark, hot):
+    from quarry.operators import salted_join
+    dims = spark.createDataFrame([("HOT", "north"), ("s1", "south"), ("s2", "east"), ("nobody", "west")],
+                                 "store string, region string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = salted_join(hot, dims, "store", how, buckets=8, hot_share=0.1)
+        want = hot.join(dims, "store", how)
+        assert got.count() == want.count()
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
+    # With a shuffle join, the hot store's rows land in several join tasks.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 shuffle partitions visible
+    try:
+        salted = salted_join(hot, dims, "store", "inner", buckets=8, hot_share=0.1)
+        tasks = salted.filter(F.col("store") == "HOT").groupBy(F.spark_partition_id()).count().count()
+        plain = hot.join(dims, "store").filter(F.col("store") == "HOT") \
+            .groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+    assert plain == 1 and tasks > 1
