@@ -74,14 +74,21 @@ class Tables:
         raise AttributeError(name)
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=None, database: str | None = None):
-    """Register the tables as temp views so ``spark.sql`` can name them.
+def register_views(spark: SparkSession, sf_dir: str, names=None, qualified: bool = False) -> list[str]:
+    """Register the tables as views so ``spark.sql`` can name them.
 
-    ``database`` mirrors ``USE db``: when given, the views are also reachable as
-    ``global_temp``-free names after ``spark.catalog.setCurrentDatabase``.
+    By default they are session views (``FROM orders``).  With
+    ``qualified=True`` they are registered in Spark's ``global_temp`` database
+    instead, the ``db.table`` form (``FROM global_temp.orders``) - the same
+    choose-a-database-then-qualify pattern, without a metastore.
     """
-    if database:
-        spark.catalog.setCurrentDatabase(database)
+    out = []
     for name in names or SCHEMAS:
-        load(spark, sf_dir, name).createOrReplaceTempView(name)
-    return [t.name for t in spark.catalog.listTables() if t.isTemporary]
+        df = load(spark, sf_dir, name)
+        if qualified:
+            df.createOrReplaceGlobalTempView(name)
+            out.append(f"global_temp.{name}")
+        else:
+            df.createOrReplaceTempView(name)
+            out.append(name)
+    return out

@@ -17,6 +17,11 @@ def test_views_answer_sql(spark, sf_small):
     assert n == Tables(spark, sf_small).nation.count()
 
 
+def test_qualified_views(spark, sf_small):
+    assert register_views(spark, sf_small, ["region"], qualified=True) == ["global_temp.region"]
+    assert spark.sql("SELECT COUNT(*) FROM global_temp.region").first()[0] == 5
+
+
 def test_csv_export_is_complete(spark, sf_small):
     c = Tables(spark, sf_small).customer
     back = read_csv(spark, write_csv(c, export_folder(spark, "test-csv")), SCHEMAS["customer"])
