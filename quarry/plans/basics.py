@@ -239,6 +239,6 @@ SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMES
 def sql_select_star_views(spark, sf_dir):
     """The SQL face of the library: tables registered as views (``USE db`` / ``db.table``),
     then ``SELECT *`` with filters that reach the Parquet scan."""
-    register_views(spark, sf_dir, ["orders"])
-    return spark.sql("SELECT * FROM orders "
+    register_views(spark, sf_dir, ["orders"], qualified=True)
+    return spark.sql("SELECT * FROM global_temp.orders "
                      "WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP_NTZ '1998-01-01'")
