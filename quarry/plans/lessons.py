@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import map_values, not_flagged, two_way, weekday_name, whole_units_between
+from quarry.functions import after, map_values, not_flagged, two_way, weekday_name, whole_units_between
 from quarry.operators import anti, broadcast_if_small, semi
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
@@ -246,3 +246,44 @@ def year_weekday_clean_users(spark, sf_dir):
     j = e.join(broadcast_if_small(clean), "user_id")
     return j.groupBy(F.year("ts").alias("event_year"), weekday_name("ts").alias("weekday")).agg(
         F.count(F.lit(1)).alias("n_events"))
+
+
+@report("customers_ordering_after", ops=("A3", "F8", "A1"), sql="""
+SELECT COUNT(DISTINCT o_custkey) AS n_customers, COUNT(*) AS n_orders
+FROM orders WHERE o_orderdate > TIMESTAMP '1998-03-01'
+""")
+def customers_ordering_after(spark, sf_dir, cutoff: str = "1998-03-01"):
+    """Distinct customers and orders after a date literal; the date reaches the scan."""
+    o = Tables(spark, sf_dir).orders.filter(after("o_orderdate", cutoff))
+    return o.agg(F.countDistinct("o_custkey").alias("n_customers"), F.count(F.lit(1)).alias("n_orders"))
+
+
+@report("value_stats_one_type", ops=("A6", "F1", "A10"), sql="""
+SELECT COUNT(*) AS n_events, ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value,
+       MAX(value) AS max_value, MIN(ts) AS first_ts, MAX(ts) AS last_ts
+FROM events WHERE event_type = 'purchase'
+""")
+def value_stats_one_type(spark, sf_dir, event_type: str = "purchase"):
+    """Mean, minimum and maximum of a measure and of a timestamp for one subgroup."""
+    e = Tables(spark, sf_dir).events.filter(F.col("event_type") == event_type)
+    return e.agg(F.count(F.lit(1)).alias("n_events"), F.round(F.avg("value"), 6).alias("avg_value"),
+                 F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+                 F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@report("customers_per_nation_segment", ops=("A3", "A13", "O2", "J2"), sql="""
+SELECT c.c_nationkey, c.c_mktsegment, COUNT(DISTINCT o.o_custkey) AS n_customers
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY c.c_nationkey, c.c_mktsegment
+HAVING COUNT(DISTINCT o.o_custkey) >= 12
+ORDER BY c.c_nationkey ASC, n_customers DESC
+""")
+def customers_per_nation_segment(spark, sf_dir, min_customers: int = 12):
+    """Ordering customers per (nation, segment), groups with enough of them, sorted
+    ascending then descending.  Orders are first reduced to distinct customers."""
+    t = Tables(spark, sf_dir)
+    buyers = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    j = buyers.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey")
+    return (j.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"))
+            .filter(F.col("n_customers") >= min_customers)
+            .orderBy(F.asc("c_nationkey"), F.desc("n_customers")))
