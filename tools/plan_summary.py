@@ -39,6 +39,7 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
     ap.add_argument("--full", action="store_true")
+    ap.add_argument("--markdown", action="store_true", help="one table row per report")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     import __spark_entry__ as entry
@@ -46,9 +47,19 @@ def main():
 
     spark = build_session("local[8]", 16)
     qs = entry.queries()
+    if args.markdown:
+        print("| report | shuffles | broadcast joins | sort-merge joins | other |")
+        print("|---|---|---|---|---|")
     for name in args.names or sorted(qs):
         df = qs[name](spark, args.sf)
         counts, scans = summarise(df)
+        if args.markdown:
+            shuffles = sum(v for k, v in counts.items() if k.startswith("Exchange") and "Broadcast" not in k)
+            other = ", ".join(k for k in ("WindowGroupLimit", "TakeOrderedAndProject", "Expand",
+                                          "ObjectHashAggregate", "SortAggregate") if k in counts)
+            print(f"| `{name}` | {shuffles} | {counts.get('BroadcastHashJoin', 0)} | "
+                  f"{counts.get('SortMergeJoin', 0)} | {other} |")
+            continue
         print(f"== {name}: {counts}")
         for s in scans:
             print(f"     scan {s}")
