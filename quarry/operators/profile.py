@@ -19,31 +19,40 @@ from quarry.operators.joins import anti
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
                   with_types: bool = False) -> DataFrame:
-    """One row per column: n_rows, n_nulls, n_non_null, n_distinct (NULL not counted)."""
+    """One row per column: n_rows, n_nulls, n_non_null, n_distinct (NULL not counted).
+
+    Each row is stacked into (column position, value as text); only the small
+    integer position travels in the shuffle key, and the column's name (and,
+    with ``with_types``, its type and nullability) is attached to the per-column
+    result afterwards.
+    """
     cols = list(columns or df.columns)
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"),
-                 F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])).alias("s")
-    ).select("s.*")
+        F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("v"))
+        for i, c in enumerate(cols)])).alias("s")).select("s.*")
     if exact:
-        per_value = stacked.groupBy("pos", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-        out = per_value.groupBy("pos", "column_name").agg(
+        per_value = stacked.groupBy("pos", "v").agg(F.count(F.lit(1)).alias("n"))
+        out = per_value.groupBy("pos").agg(
             F.sum("n").alias("n_rows"),
             F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_nulls"),
             F.count("v").alias("n_distinct"))
     else:
-        out = stacked.groupBy("pos", "column_name").agg(
+        out = stacked.groupBy("pos").agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(F.col("v").isNull()).alias("n_nulls"),
             F.approx_count_distinct("v", 0.01).alias("n_distinct"))
-    out = out.withColumn("n_non_null", F.col("n_rows") - F.col("n_nulls"))
+
+    def by_pos(values):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("pos") + 1)
+
+    fields = {f.name: f for f in df.schema.fields}
+    extra = []
     if with_types:
-        types = df.sparkSession.createDataFrame(
-            [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields if f.name in cols],
-            "column_name string, data_type string, nullable boolean")
-        out = out.join(F.broadcast(types), "column_name", "left")
-    return out.select("column_name", *(["data_type", "nullable"] if with_types else []),
-                      "n_rows", "n_nulls", "n_non_null",
+        extra = [by_pos([fields[c].dataType.simpleString() for c in cols]).alias("data_type"),
+                 by_pos([fields[c].nullable for c in cols]).alias("nullable")]
+    return out.select(by_pos(cols).alias("column_name"), *extra,
+                      F.col("n_rows"), F.col("n_nulls"),
+                      (F.col("n_rows") - F.col("n_nulls")).alias("n_non_null"),
                       F.col("n_distinct").cast("long").alias("n_distinct"))
 
 
