@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import anti
 
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
@@ -66,14 +65,19 @@ def orphan_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str
                 left_name: str = "left", right_name: str = "right") -> DataFrame:
     """Keys present on one side only, both directions, with row counts.
 
-    Each side is first reduced to (key, rows), so the anti-joins move one row
-    per key however skewed the key is.
+    Each side is first reduced to (key, rows), so a key holding a third of the
+    data is one row; one full outer join of the two per-key counts (both
+    already partitioned by key) then finds the orphans of both sides.  A NULL
+    key never matches, so it is reported on its own side, as NOT EXISTS would.
     """
-    lk = left.groupBy(F.col(left_key).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
-    rk = right.groupBy(F.col(right_key).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
-    only_left = anti(lk, rk, "key").withColumn("only_in", F.lit(left_name))
-    only_right = anti(rk, lk, "key").withColumn("only_in", F.lit(right_name))
-    return only_left.unionByName(only_right).select("only_in", "key", "n_rows")
+    lk = left.groupBy(F.col(left_key).alias("key")).agg(F.count(F.lit(1)).alias("n_left"))
+    rk = right.groupBy(F.col(right_key).alias("rkey")).agg(F.count(F.lit(1)).alias("n_right"))
+    j = lk.join(rk, F.col("key") == F.col("rkey"), "full")
+    only_left = F.col("n_right").isNull()
+    return (j.filter(only_left | F.col("n_left").isNull())
+            .select(F.when(only_left, F.lit(left_name)).otherwise(F.lit(right_name)).alias("only_in"),
+                    F.when(only_left, F.col("key")).otherwise(F.col("rkey")).alias("key"),
+                    F.when(only_left, F.col("n_left")).otherwise(F.col("n_right")).alias("n_rows")))
 
 
 def blank_null_breakdown(df: DataFrame, col: str, out: str = "kind") -> DataFrame:
