@@ -110,3 +110,17 @@ def test_salted_join_equals_plain_join_with_hot_key(spark, hot):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
     assert plain == 1 and tasks > 1
+
+
+# Upper bounds on hash/range exchanges for plans that were tightened on purpose.
+MAX_SHUFFLES = {"best_month_per_supplier": 3, "worst_month_per_supplier": 3,
+                "returns_month_per_supplier": 3, "orphan_keys": 2, "join_star_four": 2,
+                "avg_daily_revenue_supplier_month": 1, "distinct_days_per_month": 1,
+                "profile_events": 2, "join_fanout": 2}
+
+
+@pytest.mark.parametrize("name", sorted(MAX_SHUFFLES))
+def test_shuffle_budget(spark, sf_small, name):
+    plan = _plan(QUERIES[name](spark, sf_small))
+    shuffles = plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+    assert shuffles <= MAX_SHUFFLES[name]
