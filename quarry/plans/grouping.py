@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import Bin, after, bin_by, map_values, two_way, whole_units_between
-from quarry.operators import (attr, broadcast_if_small, null_count, representative, spread,
-                              with_total)
+from quarry.operators import attr, broadcast_if_small, representative, spread, with_total
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
 from quarry.sources import Tables, materialize
@@ -44,11 +43,17 @@ def counts_all_kinds(spark, sf_dir):
     t = Tables(spark, sf_dir)
     d = t.documents.select("doc_id", "lang")
     j = d.join(broadcast_if_small(t.labels.select("doc_id", "quality")), "doc_id", "left")
-    return j.agg(F.count(F.lit(1)).alias("n_rows"), F.count("quality").alias("n_quality"),
-                 F.countDistinct("lang").alias("n_langs"),
-                 F.countDistinct("quality").alias("n_quality_values"),
-                 null_count("quality").alias("n_quality_null"),
-                 F.sum(F.isnull("quality").cast("int")).cast("long").alias("n_quality_null_sum"))
+    # Pre-aggregate to (lang, quality) combinations - a handful of rows per task
+    # after map-side combine - so the two distinct counts expand that small
+    # table instead of every document row.
+    combos = j.groupBy("lang", "quality").agg(F.count(F.lit(1)).alias("n"))
+    return combos.agg(F.sum("n").alias("n_rows"),
+                      F.sum(F.when(F.col("quality").isNotNull(), F.col("n")).otherwise(0)).alias("n_quality"),
+                      F.countDistinct("lang").alias("n_langs"),
+                      F.countDistinct("quality").alias("n_quality_values"),
+                      F.sum(F.when(F.col("quality").isNull(), F.col("n")).otherwise(0)).alias("n_quality_null"),
+                      F.sum(F.when(F.isnull("quality"), F.col("n")).otherwise(0)).cast("long")
+                      .alias("n_quality_null_sum"))
 
 
 @report("group_multi_having", ops=("A11", "A13", "O2", "A6"), sql="""
