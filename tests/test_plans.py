@@ -124,3 +124,10 @@ def test_shuffle_budget(spark, sf_small, name):
     plan = _plan(QUERIES[name](spark, sf_small))
     shuffles = plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
     assert shuffles <= MAX_SHUFFLES[name]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_large_text_is_never_read(spark, sf_small, name):
+    """Column pruning: the documents' text (up to 20,000 words a row) is not read."""
+    text = _formatted(QUERIES[name](spark, sf_small))
+    assert "text:string" not in text
