@@ -45,13 +45,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach: the cluster's checkpoint directory.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only when it is unset
-    (local tests) is a fresh temporary folder created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Where it is unset, a
+    local master (driver and tasks are one process) gets a temporary folder;
+    on a cluster that folder would differ from machine to machine, so there
+    the call fails.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
