@@ -8,16 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mixing, secret_ledger, sharding
+from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -31,6 +36,12 @@ def op1_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op4_bin_completion_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in as few sequences of 1024 as bin completion finds."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), capacity=1024, end_id=2)
+
+
 @query
 def op5_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words, weights 3, 1, 2, takes of each document."""
@@ -39,6 +50,12 @@ def op5_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op7_rank_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document."""
+    return byte_bpe.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), limit=512)
+
+
 @query
 def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once per distinct text."""
