@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding
+from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding, warc
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op1_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back by byte ranges."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_bin_completion_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in as few sequences of 1024 as bin completion finds."""
@@ -153,3 +160,16 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN joined USING (doc_id)
 """
+
+ORACLE["op3_splittable_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top,
+  list_aggregate(list_transform(range(40), lambda i: lpad(bin(('0x' || h[i + 1])::INT), 4, '0')), 'string_agg', '') AS bits
+  FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', list_reduce(list_prepend(0, list_transform(range(5),
+      lambda j: bits[5 * i + j + 1]::INT)), lambda a, b: 2 * a + b)::BIGINT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM g
+"""
