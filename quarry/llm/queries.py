@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding, warc
+from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding, toxicity, warc
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op5_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document, learnt from the labels outside the held-out fold."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_rank_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
