@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, mixing, packing, secret_ledger, sharding, toxicity, warc
+from quarry.llm import byte_bpe, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,13 @@ def op7_rank_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), limit=512)
 
 
+@query
+def op8_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every whole document and the isolation forest's verdict."""
+    judged = quality_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_forest.BASE, "base_failed", "kept")
+
+
 @query
 def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once per distinct text."""
