@@ -26,14 +26,13 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.byte_bpe import PreTokens
+from quarry.llm.byte_bpe import PreTokens, byte_symbols
 from quarry.llm.common import written
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -42,41 +41,47 @@ Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 # -- tokens ------------------------------------------------------------------
 
 class TokenIds:
-    """Ids of texts as the ``tokenizers`` library gives them.
+    """Ids of texts as the ``tokenizers`` library gives them for a byte-level
+    BPE file.
 
-    BPE never merges across pre-tokens, so the library encodes each distinct
-    pre-token once while a bounded cache holds it."""
+    The ids come from ``tiktoken``, some three times as fast, over the same
+    file's vocabulary.  Every character that is not ASCII is first tried in
+    both libraries; a text with one that they cut differently (their Unicode
+    tables differ in newly assigned ones) or with an added token goes to
+    ``tokenizers`` itself."""
 
-    def __init__(self, path: str, cache_words: int = 300_000):
+    def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            self.split = PreTokens(json.load(f))
+            spec = json.load(f)
+        cutter = PreTokens(spec)  # refuses other kinds of files
+        byte_of = {c: b for b, c in enumerate(byte_symbols())}
+        vocab = {k: v for k, v in spec["model"]["vocab"].items() if k not in cutter.added}
+        ranks = {bytes(map(byte_of.__getitem__, k)): v for k, v in vocab.items()}
+        self.added = list(cutter.added)
+        self.fast = tiktoken.Encoding("file", pat_str=PreTokens.PATTERN, mergeable_ranks=ranks,
+                                      special_tokens={}).encode_ordinary
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.cache_words = cache_words
+        self.agreed: set[str] = set()
+        self.odd: set[str] = set()
+
+    def _by_library(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
-        out: list[int] = []
-        for part, added in self.split.parts(text):
-            if added:
-                out.append(self.split.added[part])
-                continue
-            words = self.split.words(part)
-            try:
-                coded = list(map(self.cache.__getitem__, words))
-            except KeyError:
-                self._learn(words)
-                coded = map(self.cache.__getitem__, words)
-            out += chain.from_iterable(coded)
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        new = list({w for w in words if w not in self.cache})
-        coded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        self.cache.update((w, tuple(c.ids)) for w, c in zip(new, coded, strict=True))
+        if any(a in text for a in self.added):
+            return self._by_library(text)
+        if not text.isascii():
+            chars = set(text)
+            if not chars <= self.agreed:
+                for c in chars - self.agreed - self.odd:
+                    probe = f"a{c}b {c}1"
+                    (self.agreed if self.fast(probe) == self._by_library(probe) else self.odd).add(c)
+                if chars & self.odd:
+                    return self._by_library(text)
+        return self.fast(text)
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2,
