@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
+from quarry.llm import byte_bpe, metric_join, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op8_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_forest.BASE, "base_failed", "kept")
 
 
+@query
+def op9_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label, exactly."""
+    return metric_join.range_join(table(spark, sf_dir, "embeddings"), least_cosine=0.93)
+
+
 @query
 def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once per distinct text."""
@@ -186,3 +192,19 @@ SELECT page_id, n::BIGINT AS payload_bytes, list_aggregate(list_transform(range(
   CASE WHEN page_id <> top THEN top END AS refers_to
 FROM g
 """
+
+ORACLE["op9_metric_range_join"] = """
+WITH RECURSIVE v AS (
+  SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.w FROM r JOIN l ON r.b = l.u),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+  e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.u = e.vec_id
+"""
