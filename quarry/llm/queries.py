@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, metric_join, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
+from quarry.llm import byte_bpe, hyperminhash, metric_join, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op1_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op2_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back by byte ranges."""
@@ -208,3 +214,21 @@ SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(c.component_id, e.v
   e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.u = e.vec_id
 """
+
+ORACLE["op2_hyperminhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(w) - 4, 1)),
+    lambda i: array_to_string(w[i + 1 : i + 5], ' '))) AS sh FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.v FROM r JOIN e ON r.b = e.u),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+  d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
