@@ -6,7 +6,6 @@ sources    load tables with explicit schemas, register views, CSV export
 functions  column-level helpers: predicates, labels/binning, time parts, ratios
 operators  DataFrame-level building blocks: joins, aggregations, ranking, profiles
 plans      the named reports (one function per query) and their SQL oracles
-streaming  intentionally empty: the analyses are batch-only
 """
 
 from quarry.session import build_session, shared_dir

@@ -37,14 +37,6 @@ def attr(col) -> Column:
     return F.when(constant, F.min(c))
 
 
-def attr_strict(col, name: str = "value") -> Column:
-    """Like :func:`attr` but fails the job when the group is not constant."""
-    c = _c(col)
-    constant = (F.min(c).eqNullSafe(F.max(c))) & (F.count(c) == F.count(F.lit(1)))
-    return F.when(constant, F.min(c)).otherwise(
-        F.raise_error(F.lit(f"{name} is not constant within its group")))
-
-
 def representative(value, *order) -> Column:
     """A deterministic stand-in for a loose GROUP BY column.
 
@@ -94,8 +86,8 @@ def per_month(df: DataFrame, keys: Sequence[str], ts, sums: Mapping[str, object]
 
 
 def days_in(mask="day_mask") -> Column:
-    """Number of distinct days in a day bitmap."""
-    return F.bit_count(_c(mask)).cast("long")
+    """Number of distinct days in a day bitmap; 0 for a group without any date."""
+    return F.coalesce(F.bit_count(_c(mask)).cast("long"), F.lit(0).cast("long"))
 
 
 def daily_rate(monthly: DataFrame, keys: Sequence[str], amount: str = "amount",

@@ -1,8 +1,6 @@
 """Joins that cannot silently explode.
 
 Rules the helpers enforce:
-* a join always has a condition (``keyed_join`` refuses an empty ``on``: no
-  accidental Cartesian product, J8);
 * a broadcast hint is only given after the side's estimated size was checked
   against a bound (``broadcast_if_small``); beyond the bound the plan stays a
   shuffle join, and AQE may still switch at runtime from real sizes;
@@ -16,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we hint for broadcast: every executor holds a copy.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Largest side we hint for broadcast, by its estimated (encoded) size: every
+# executor holds a copy, and in memory it may be several times as large.
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def _keys(on) -> list[str]:
@@ -55,17 +54,6 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return df
 
 
-def keyed_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join that requires a condition (J1-J7, J16): column name(s) or a Column expression.
-
-    A missing condition - the accidental Cartesian product of J8 - raises.
-    """
-    is_column = isinstance(on, Column)
-    if on is None or (not is_column and not isinstance(on, str) and len(list(on)) == 0):
-        raise ValueError("keyed_join needs a join condition; a Cartesian product is not allowed")
-    return left.join(right, on, how)
-
-
 def semi(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` with a match in ``right`` (J10, EXISTS); no fan-out."""
     keys = _keys(on)
@@ -126,39 +114,3 @@ def join_back_top(fact: DataFrame, top: DataFrame, on) -> DataFrame:
     The bounded side is broadcast; the fact side is only scanned, not shuffled.
     """
     return fact.join(broadcast_if_small(top), on, "inner")
-
-
-def salted_join(big: DataFrame, small: DataFrame, on, how: str = "inner", buckets: int = 32,
-                hot_share: float = 0.01) -> DataFrame:
-    """Equi-join that splits hot keys of ``big`` over ``buckets`` tasks (salting).
-
-    A key is hot when it holds more than ``hot_share`` of ``big``'s rows; there
-    can be at most ``1 / hot_share`` such keys, so the hot-key list has a proven
-    size bound and is broadcast.  Rows of ``big`` with a hot key get a salt
-    0..buckets-1 from their row id (deterministic for a deterministic scan, and
-    duplicate rows still spread); the matching rows of ``small`` are replicated
-    once per salt.  Every other key keeps salt 0, so it costs nothing extra.
-    Each ``big`` row meets exactly one replica, hence the result equals the
-    plain join for ``inner``, ``left`` (``big`` preserved), ``left_semi`` and
-    ``left_anti``; joins preserving ``small`` are refused.
-    """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError("salted_join preserves only the big side: inner, left, left_semi, left_anti")
-    keys = _keys(on)
-    if not keys:
-        raise ValueError("salted_join needs join key columns")
-    total = big.agg(F.count(F.lit(1))).scalar()
-    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > total * F.lit(hot_share))
-           .select(*keys, F.lit(True).alias("_hot")))
-    hot_b = F.broadcast(hot)  # at most 1 / hot_share rows
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    big_s = (big.join(hot_b, keys, "left")
-             .withColumn("_salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
-                         .otherwise(F.lit(0)))
-             .drop("_hot"))
-    small_s = (small.join(hot_b, keys, "left")
-               .withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                              .otherwise(F.array(F.lit(0)))))
-               .drop("_hot"))
-    return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")

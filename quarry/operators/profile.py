@@ -16,6 +16,13 @@ from pyspark.sql import functions as F
 
 
 
+def _as_text(df: DataFrame, column: str):
+    """A column's values as text, one text per value: 0.0 and -0.0 are one number."""
+    if df.schema[column].dataType.simpleString() in ("float", "double"):
+        return (F.col(column) + F.lit(0.0)).cast("string")
+    return F.col(column).cast("string")
+
+
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
                   with_types: bool = False) -> DataFrame:
     """One row per column: n_rows, n_nulls, n_non_null, n_distinct (NULL not counted).
@@ -27,7 +34,7 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bo
     """
     cols = list(columns or df.columns)
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("v"))
+        F.struct(F.lit(i).alias("pos"), _as_text(df, c).alias("v"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
     if exact:
         per_value = stacked.groupBy("pos", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -81,10 +88,11 @@ def orphan_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
 
 def blank_null_breakdown(df: DataFrame, col: str, out: str = "kind") -> DataFrame:
-    """Counts of NULL, empty-string and other values of one column."""
-    c = F.col(col)
-    kind = F.when(c.isNull(), "Null").when(c == "", "StrNull").otherwise("Else")
-    return df.groupBy(kind.alias(out)).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows of one column by what they hold: nothing, blank text or a value."""
+    length = F.length(col)
+    holds = F.element_at(F.array(F.lit("nothing"), F.lit("blank"), F.lit("value")),
+                         F.when(length > 0, 3).when(length == 0, 2).otherwise(1))
+    return df.groupBy(holds.alias(out)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def all_null_columns(df: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def distinct_combinations(spark, sf_dir):
 
 
 @report("page_offset", ops=("O4", "O5"), sql="""
-SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_custkey LIMIT 10 OFFSET 5
+SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_custkey NULLS FIRST LIMIT 10 OFFSET 5
 """)
 def page_offset(spark, sf_dir):
     """Rows 6-15 in key order: LIMIT 10 OFFSET 5."""
@@ -152,7 +152,7 @@ def page_offset(spark, sf_dir):
 
 
 @report("topk_first_orders", ops=("O3", "O6"), sql="""
-SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate NULLS FIRST, o_orderkey LIMIT 10
 """)
 def topk_first_orders(spark, sf_dir):
     """The first ten orders ever, key as tie-break."""

@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import Bin, after, bin_by, map_values, two_way, whole_units_between
-from quarry.operators import attr, broadcast_if_small, representative, spread, with_total
+from quarry.functions.arith import ratio
+from quarry.operators import attr, broadcast_if_small, cents, representative, with_total
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
-from quarry.sources import Tables, materialize
+from quarry.sources import Tables
 
 
 def money_avg(col):
@@ -86,7 +87,7 @@ def group_null_key(spark, sf_dir):
 
 
 @report("total_and_groups", ops=("A23", "A11"), sql="""
-SELECT c_mktsegment, COUNT(*) AS n_customers, ROUND(SUM(c_acctbal), 2) AS total_balance,
+SELECT c_mktsegment, COUNT(*) AS n_customers, CAST(SUM(CAST(ROUND(c_acctbal * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_balance,
        CAST(GROUPING(c_mktsegment) AS BIGINT) AS is_total
 FROM customer GROUP BY ROLLUP (c_mktsegment)
 """)
@@ -94,7 +95,7 @@ def total_and_groups(spark, sf_dir):
     """Per-segment rows and the overall total in one query, via ROLLUP."""
     c = Tables(spark, sf_dir).customer
     out = with_total(c, ["c_mktsegment"], [F.count(F.lit(1)).alias("n_customers"),
-                                           F.round(F.sum("c_acctbal"), 2).alias("total_balance")])
+                                           (F.sum(cents("c_acctbal")).cast("double") / 100).alias("total_balance")])
     return out.withColumn("is_total", F.col("is_total").cast("long"))
 
 
@@ -129,18 +130,31 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_type
 """)
 def spread_by_group(spark, sf_dir, cv_limit: float = 0.5):
-    """Mean, population and sample spread, median, and a mean-reliability flag per department."""
+    """Mean, population and sample spread, median, and a mean-reliability flag per department.
+
+    The fact is reduced to counts per (sku, quantity) before it meets the
+    department, then to counts per (department, quantity); the statistics are
+    weighted by those counts.  Quantities are whole numbers 1-50, so a
+    department has a bounded number of rows and all sums are exact.
+    """
     t = Tables(spark, sf_dir)
-    part = broadcast_if_small(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"))
-    j = t.lineitem.select("l_partkey", "l_quantity").join(part, "l_partkey")
-    # Quantities are whole numbers 1-50: the exact median's per-group state is bounded.
-    out = j.groupBy("p_type").agg(F.count(F.lit(1)).alias("n_lines"),
-                                  *spread("l_quantity", "qty", median_exact=True))
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    counts = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count(F.lit(1)).alias("n"))
+    per_type = counts.join(broadcast_if_small(part), "l_partkey").groupBy("p_type", "l_quantity").agg(
+        F.sum("n").alias("n"))
+    q, n = F.col("l_quantity"), F.when(F.col("l_quantity").isNotNull(), F.col("n"))
+    out = per_type.groupBy("p_type").agg(
+        F.sum("n").alias("n_lines"), F.sum(n).alias("known"), F.sum(q * n).alias("total"),
+        F.sum(q * q * n).alias("squares"),
+        F.expr("percentile(l_quantity, 0.5, n)").alias("qty_median"))
+    out = out.withColumn("qty_avg", ratio("total", "known")).withColumn(
+        "deviation", F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.col("known"), F.lit(0.0)))
+    std_pop = F.sqrt(ratio("deviation", "known"))
+    cv = std_pop / F.col("qty_avg")
     return out.select(
-        "p_type", "n_lines", "qty_avg",
-        *[F.round(c, 6).alias(c) for c in ("qty_std_pop", "qty_std_samp")], "qty_median",
-        F.round("qty_cv", 6).alias("qty_cv"),
-        (F.col("qty_cv") > cv_limit).cast("int").alias("unreliable_mean"))
+        "p_type", "n_lines", "qty_avg", F.round(std_pop, 6).alias("qty_std_pop"),
+        F.round(F.sqrt(ratio("deviation", F.col("known") - 1)), 6).alias("qty_std_samp"), "qty_median",
+        F.round(cv, 6).alias("qty_cv"), (cv > cv_limit).cast("int").alias("unreliable_mean"))
 
 
 @report("attr_and_representative", ops=("A20", "A21"), sql="""
@@ -293,15 +307,8 @@ WHERE l.l_returnflag = 'R'
                         WHERE l.l_returnflag = 'R')
 """)
 def rows_above_average_duration(spark, sf_dir):
-    """Rows whose duration exceeds the average, via a scalar subquery.
-
-    The subquery and the outer query need the same fact-to-fact join, and
-    Spark does not share it between them (their projections differ), so the
-    joined rows - three narrow columns - are written once to the shared folder
-    and both the average and the filter read that table: one join instead of
-    two shuffles of both facts.
-    """
-    d = materialize(_durations(Tables(spark, sf_dir)).filter(F.col("l_returnflag") == "R")
-                    .select("l_orderkey", "l_linenumber", "minutes"), "returned-durations")
-    avg_minutes = d.agg(F.avg("minutes")).scalar()
-    return d.filter(F.col("minutes") > avg_minutes).select("l_orderkey", "l_linenumber", "minutes")
+    """Rows whose duration exceeds the average, via a scalar subquery over the same
+    fact-to-fact join; nothing is written in between."""
+    d = (_durations(Tables(spark, sf_dir)).filter(F.col("l_returnflag") == "R")
+         .select("l_orderkey", "l_linenumber", "minutes"))
+    return d.filter(F.col("minutes") > d.agg(F.avg("minutes")).scalar())

@@ -16,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import not_flagged
-from quarry.operators import (anti, anti_by_outer_join, broadcast_if_small, cents, fanout, semi,
-                              top_k)
+from quarry.operators import (anti, anti_by_outer_join, broadcast_if_small, cents, dedupe_join, fanout,
+                              semi, top_k)
 from quarry.plans.registry import report
-from quarry.sources import Tables, materialize
+from quarry.plans.standins import PARTS_SQL, PEOPLE_SQL, parts, people, per_key
+from quarry.sources import Tables
 
 
 def _events_per_user(t: Tables, event_type: str | None = None):
@@ -93,18 +94,21 @@ def join_star_four(spark, sf_dir):
         (F.sum("cents").cast("double") / F.lit(100)).alias("revenue"))
 
 
-@report("join_left_counts", ops=("J5", "A2", "A19"), sql="""
+@report("join_left_counts", ops=("J5", "A2", "A19"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT c.c_custkey, c.c_mktsegment, COUNT(e.event_id) AS n_events
-FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id
+FROM people c LEFT JOIN events e ON c.c_custkey = e.user_id
 GROUP BY c.c_custkey, c.c_mktsegment
 """)
 def join_left_counts(spark, sf_dir):
-    """Every customer with its number of events, zero included."""
+    """Every customer with its number of events, zero included; a customer's
+    repeated rows multiply its events, as the join does."""
     t = Tables(spark, sf_dir)
-    per_user = _events_per_user(t)
-    c = t.customer.select("c_custkey", "c_mktsegment")
+    per_user = t.events.groupBy("user_id").agg(F.count("event_id").alias("n_events"))
+    c = per_key(people(t), "c_custkey", "c_mktsegment")
     j = c.join(per_user, c["c_custkey"] == per_user["user_id"], "left")
-    return j.select("c_custkey", "c_mktsegment", F.coalesce("n_events", F.lit(0)).alias("n_events"))
+    return j.select("c_custkey", "c_mktsegment",
+                    (F.coalesce("n_events", F.lit(0)) * F.col("copies")).alias("n_events"))
 
 
 @report("join_right", ops=("J6", "A2"), sql="""
@@ -161,9 +165,13 @@ def anti_three_ways(spark, sf_dir):
     right = anti_by_outer_join(c, e, "c_custkey", "user_id", side="right")
     not_exists = anti(c, e.withColumnRenamed("user_id", "c_custkey"), "c_custkey")
     # NOT IN is NULL-aware: a NULL user_id would empty the result, unlike NOT EXISTS.
+    # A NULL c_custkey is not known to be outside a set with members, so it drops out as well.
     not_in = c.join(e.distinct(), F.col("c_custkey") == F.col("user_id"), "left_anti")
-    has_null_user = e.agg(F.count_if(F.col("user_id").isNull())).scalar()
-    n_not_in = F.when(has_null_user > 0, F.lit(0)).otherwise(not_in.agg(F.count(F.lit(1))).scalar())
+    null_users = e.agg(F.count_if(F.col("user_id").isNull())).scalar()
+    known = not_in.agg(F.count("c_custkey")).scalar()
+    n_not_in = (F.when(null_users > 0, F.lit(0))
+                .when(e.agg(F.count(F.lit(1))).scalar() == 0, c.agg(F.count(F.lit(1))).scalar())
+                .otherwise(known))
     # One row; the other counts enter as scalar subqueries (each a one-row aggregate).
     return left.agg(F.count(F.lit(1)).alias("n_left_join")).select(
         "n_left_join",
@@ -185,7 +193,7 @@ def semi_exists(spark, sf_dir):
 
 @report("dedupe_before_join", ops=("J13", "Q4", "J12"), sql="""
 WITH first_orders AS (
-  SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100
+  SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderdate NULLS FIRST, o_orderkey LIMIT 100
 ), lines AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
 SELECT f.o_orderkey, f.o_custkey, COUNT(*) AS n_line_numbers,
        (SELECT COUNT(*) FROM lineitem li WHERE li.l_orderkey = f.o_orderkey) AS n_rows
@@ -196,21 +204,16 @@ def dedupe_before_join(spark, sf_dir, first_n: int = 100):
     """The first orders joined to their *distinct* line numbers, with the raw row count
     for contrast: duplicate (order, line) rows do not multiply.
 
-    The bounded left side (LIMIT) is broadcast; the fact is filtered by a
-    broadcast semi-join before its de-duplication, so only matching lines move.
+    The bounded left side (LIMIT) is broadcast, so only matching lines move.
     """
     t = Tables(spark, sf_dir)
     first = top_k(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), first_n,
                   [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]).select("o_orderkey", "o_custkey")
-    # The bounded left side is used twice (to filter the fact, then to join):
-    # written once to the shared folder so the orders scan and top-k run once.
-    first_b = broadcast_if_small(materialize(first, "first-orders"))
-    lines = (t.lineitem.select("l_orderkey", "l_linenumber")
-             .join(first_b, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"))
-    per_order = lines.groupBy("l_orderkey").agg(F.countDistinct("l_linenumber").alias("n_line_numbers"),
-                                                F.count(F.lit(1)).alias("n_rows"))
-    return per_order.join(first_b, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "o_orderkey", "o_custkey", "n_line_numbers", "n_rows")
+    # One join with the bounded side filters the fact and carries the customer along.
+    lines = t.lineitem.select("l_orderkey", "l_linenumber").join(
+        broadcast_if_small(first), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.groupBy("o_orderkey", "o_custkey").agg(
+        F.countDistinct("l_linenumber").alias("n_line_numbers"), F.count(F.lit(1)).alias("n_rows"))
 
 
 @report("join_fanout", ops=("J14", "D4"), sql="""
@@ -225,62 +228,65 @@ def join_fanout(spark, sf_dir):
     return fanout(t.orders, t.events, "o_custkey", "user_id", key_name="key")
 
 
-@report("brand_unlisted_parts", ops=("J9", "J16", "A3", "O6"), sql="""
-WITH listed AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R')
-SELECT p.p_brand, COUNT(DISTINCT t.l_partkey) AS n_parts
-FROM lineitem t
-LEFT JOIN listed s ON s.l_partkey = t.l_partkey AND s.l_suppkey = t.l_suppkey
-JOIN part p ON t.l_partkey = p.p_partkey
-WHERE s.l_partkey IS NULL
-GROUP BY p.p_brand
-ORDER BY n_parts DESC, p.p_brand
+@report("brand_unlisted_parts", ops=("J9", "J16", "A3", "O6"), sql=f"""
+WITH {PARTS_SQL},
+unlisted AS (
+  SELECT DISTINCT sold.l_partkey FROM lineitem sold
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem back WHERE back.l_returnflag = 'R'
+                    AND back.l_partkey = sold.l_partkey AND back.l_suppkey = sold.l_suppkey))
+SELECT brands.p_brand, COUNT(*) AS n_parts
+FROM unlisted JOIN (SELECT DISTINCT p_partkey, p_brand FROM parts) brands ON brands.p_partkey = unlisted.l_partkey
+GROUP BY brands.p_brand
+ORDER BY n_parts DESC, brands.p_brand
 """)
 def brand_unlisted_parts(spark, sf_dir):
     """Brand with most skus sold through (sku, store) pairs missing from the listing table,
-    the listing being the pairs that had returns."""
+    the listing being the pairs that had returns.
+
+    Both facts of a pair - sold, and returned - come from one aggregate per
+    pair; a pair with a NULL store is in no listing."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem
-    keys = ["l_partkey", "l_suppkey"]
-    pairs = li.select(*keys).distinct()
-    listed = li.filter(F.col("l_returnflag") == "R").select(*keys)
-    unlisted_parts = anti(pairs, listed, keys).select("l_partkey").distinct()
-    brand = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return (unlisted_parts.join(broadcast_if_small(brand), "l_partkey")
-            .groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
+    pairs = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(
+        F.coalesce(F.bool_or(F.col("l_returnflag") == "R"), F.lit(False)).alias("listed"))
+    unlisted = pairs.filter(~F.col("listed") | F.col("l_suppkey").isNull()).select("l_partkey").distinct()
+    brand = parts(t).select(F.col("p_partkey").alias("l_partkey"), "p_brand").distinct()
+    return (unlisted.join(brand, "l_partkey").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
             .orderBy(F.desc("n_parts"), "p_brand"))
 
 
-@report("top_nations_by_active_customers", ops=("O6", "J13", "A3", "J4"), sql="""
+@report("top_nations_by_active_customers", ops=("O6", "J13", "A3", "J4"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT n.n_name, COUNT(DISTINCT c.c_custkey) AS n_customers
-FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+FROM events e JOIN people c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 ORDER BY n_customers DESC, n.n_name
 LIMIT 5
 """)
 def top_nations_by_active_customers(spark, sf_dir, k: int = 5):
-    """Top nations by distinct active customers; events de-duplicated before the join."""
+    """Top nations by distinct active customers; both sides de-duplicated before the join."""
     t = Tables(spark, sf_dir)
-    users = t.events.select(F.col("user_id").alias("c_custkey")).distinct()
-    j = (users.join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
-         .join(broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")),
-               "c_nationkey"))
+    users = dedupe_join(t.events.select(F.col("user_id").alias("c_custkey")), people(t), "c_custkey",
+                        right_cols=["c_nationkey"])
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    j = users.join(broadcast_if_small(nations), "c_nationkey").select("c_custkey", "n_name").distinct()
     counts = j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"))
     return top_k(counts, k, [F.desc("n_customers"), F.asc("n_name")])
 
 
-@report("users_per_segment", ops=("J1", "A3", "A12"), sql="""
+@report("users_per_segment", ops=("J1", "A3", "A12"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT c.c_mktsegment, COUNT(DISTINCT e.user_id) AS n_users, COUNT(*) AS n_events
-FROM events e JOIN customer c ON e.user_id = c.c_custkey
+FROM events e JOIN people c ON e.user_id = c.c_custkey
 GROUP BY c.c_mktsegment
 """)
 def users_per_segment(spark, sf_dir):
-    """Distinct active users and events per customer segment."""
+    """Distinct active users, and joined rows, per customer segment; a user's
+    repeated rows multiply the rows, not the users."""
     t = Tables(spark, sf_dir)
     per_user = _events_per_user(t)
-    j = per_user.join(t.customer.select("c_custkey", "c_mktsegment"),
-                      F.col("user_id") == F.col("c_custkey"))
+    j = per_user.join(per_key(people(t), "c_custkey", "c_mktsegment"), F.col("user_id") == F.col("c_custkey"))
     return j.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_users"),
-                                         F.sum("n_events").alias("n_events"))
+                                         F.sum(F.col("n_events") * F.col("copies")).alias("n_events"))
 
 
 @report("top_segments_by_events", ops=("J1", "A2", "O6"), sql="""
@@ -301,22 +307,22 @@ def top_segments_by_events(spark, sf_dir, k: int = 3):
     return top_k(counts, k, [F.desc("n_events"), F.asc("c_mktsegment")])
 
 
-@report("orders_per_customer_label", ops=("J2", "X13", "A20", "J5"), sql="""
+@report("orders_per_customer_label", ops=("J2", "X13", "A20", "J5"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT c.c_custkey, IF(c.c_acctbal > 5000, 'high balance', 'standard') AS balance_label,
        COUNT(o.o_orderkey) AS n_orders
-FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+FROM people c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey, c.c_acctbal
 """)
 def orders_per_customer_label(spark, sf_dir):
     """Orders per customer with a label derived from a column of the grouped side."""
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"))
-    c = t.customer.select("c_custkey", "c_acctbal")
-    j = c.join(per_cust, "c_custkey", "left")
+        F.count("o_orderkey").alias("n_orders"))
+    j = per_key(people(t), "c_custkey", "c_acctbal").join(per_cust, "c_custkey", "left")
     return j.select("c_custkey",
                     F.when(F.col("c_acctbal") > 5000, "high balance").otherwise("standard").alias("balance_label"),
-                    F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
+                    (F.coalesce("n_orders", F.lit(0)) * F.col("copies")).alias("n_orders"))
 
 
 @report("flag_not_excluded", ops=("F11", "J5", "P5", "P6"), sql="""
@@ -340,9 +346,10 @@ def flag_not_excluded(spark, sf_dir):
         F.col("l.quality").alias("quality"), F.col("l.toxic").alias("toxic"))
 
 
-@report("clean_join_counts", ops=("D7", "F11", "J13", "A1", "A3", "J2"), sql="""
-WITH raw AS (SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_orderstatus
-             FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey)
+@report("clean_join_counts", ops=("D7", "F11", "J13", "A1", "A3", "J2"), sql=f"""
+WITH {PEOPLE_SQL},
+raw AS (SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_orderstatus
+             FROM people c JOIN orders o ON c.c_custkey = o.o_custkey)
 SELECT COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_customers,
        (SELECT COUNT(DISTINCT c_custkey) FROM raw
          WHERE NOT (c_acctbal < 0) AND (o_orderstatus IS NULL OR o_orderstatus <> 'P')) AS n_clean_customers,
@@ -354,18 +361,19 @@ def clean_join_counts(spark, sf_dir):
     """Join counts raw / distinct / with flagged rows removed on both sides:
     test accounts on the customer side, pending orders on the order side.
 
-    Each side is reduced to (customer, order count) before the join, so the
-    distinct-customer counts come from one row per customer.
+    Each side is reduced to one row per customer before the join - orders to
+    counts, customers to their numbers of rows - so repeated customer rows
+    multiply the joined rows and leave the distinct counts alone.
     """
     t = Tables(spark, sf_dir)
     o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
     per_cust = o.groupBy("c_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(not_flagged("o_orderstatus", "P")).alias("n_clean_orders"))
-    c = t.customer.select("c_custkey", (F.col("c_acctbal") < 0).alias("is_test"))
+    c = people(t).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("copies"),
+                                           F.count_if(~(F.col("c_acctbal") < 0)).alias("clean_copies"))
     j = c.join(per_cust, "c_custkey")
-    clean = (~F.col("is_test")) & (F.col("n_clean_orders") > 0)
-    return j.agg(F.sum("n_orders").alias("n_rows"), F.count(F.lit(1)).alias("n_customers"),
-                 F.count_if(clean).alias("n_clean_customers"),
-                 F.coalesce(F.sum(F.when(~F.col("is_test"), F.col("n_clean_orders"))), F.lit(0))
-                 .alias("n_clean_rows"))
+    rows, clean_rows = (F.col("copies") * F.col("n_orders"), F.col("clean_copies") * F.col("n_clean_orders"))
+    return j.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_customers"),
+                 F.count_if(clean_rows > 0).alias("n_clean_customers"),
+                 F.coalesce(F.sum(clean_rows), F.lit(0)).alias("n_clean_rows"))

@@ -11,6 +11,7 @@ from quarry.functions import after, map_values, not_flagged, two_way, weekday_na
 from quarry.operators import anti, broadcast_if_small, semi
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
+from quarry.plans.standins import PEOPLE_SQL, people, per_key
 from quarry.sources import Tables, register_views
 
 
@@ -36,39 +37,43 @@ SELECT
     WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')) AS n_orders_not_in
 """)
 def in_subquery_counts(spark, sf_dir):
-    """``IN (subquery)`` and ``NOT IN (subquery)`` counts.
+    """``IN (subquery)`` and ``NOT IN (subquery)`` counts from one pass.
 
-    IN is a semi-join against the subquery's distinct keys; NOT IN is an
-    anti-join that returns nothing when the subquery yields a NULL key.
+    Lines and urgent orders are stacked and reduced to one row per order key:
+    its number of lines, and whether it is urgent.  Both counts follow from
+    those rows, so a hot order is one row before it moves.  NOT IN gives
+    nothing when the subquery yields a NULL key, and no NULL key passes it.
     """
     t = Tables(spark, sf_dir)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("key"), F.lit(1).alias("line"), F.lit(False).alias("urgent"))
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_orderkey").alias("l_orderkey"))
-    li = t.lineitem.select("l_orderkey")
-    has_null = urgent.agg(F.count_if(F.col("l_orderkey").isNull())).scalar()
-    not_in = anti(li.filter(F.col("l_orderkey").isNotNull()).distinct(), urgent, "l_orderkey")
-    n_not_in = F.when(has_null > 0, F.lit(0)).otherwise(not_in.agg(F.count(F.lit(1))).scalar())
-    in_rows = semi(li, urgent, "l_orderkey").agg(F.count(F.lit(1)).alias("n_lines_in"))
-    return in_rows.select("n_lines_in", n_not_in.cast("long").alias("n_orders_not_in"))
+        F.col("o_orderkey").alias("key"), F.lit(0).alias("line"), F.lit(True).alias("urgent"))
+    keys = lines.unionByName(urgent).groupBy("key").agg(F.sum("line").alias("n"), F.bool_or("urgent").alias("urgent"))
+    known = F.col("key").isNotNull()
+    counts = keys.agg(F.coalesce(F.sum(F.when(known & F.col("urgent"), F.col("n"))), F.lit(0)).alias("n_lines_in"),
+                      F.count_if(known & ~F.col("urgent")).alias("n_not_in"),
+                      F.count_if(~known & F.col("urgent")).alias("null_keys"))
+    return counts.select("n_lines_in", F.when(F.col("null_keys") > 0, 0).otherwise(F.col("n_not_in"))
+                         .cast("long").alias("n_orders_not_in"))
 
 
 @report("first_last_per_customer", ops=("A6", "J2", "F6", "F7"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT c.c_custkey, MIN(o.o_orderdate) AS first_order, MAX(o.o_orderdate) AS last_order,
        COUNT(o.o_orderkey) AS n_orders
-FROM (SELECT c_custkey, {SEG_SQL} AS seg FROM customer) c JOIN orders o ON c.c_custkey = o.o_custkey
+FROM (SELECT c_custkey, {SEG_SQL} AS seg FROM people) c JOIN orders o ON c.c_custkey = o.o_custkey
 WHERE c.seg = ''
 GROUP BY c.c_custkey
 """)
 def first_last_per_customer(spark, sf_dir):
-    """First, last and total orders of the customers whose segment is blank - not NULL
-   ."""
+    """First, last and total orders of the customers whose segment is blank - not NULL."""
     t = Tables(spark, sf_dir)
-    blank = t.customer.select("c_custkey", segment_with_gaps().alias("seg")).filter(F.col("seg") == "")
+    blank = people(t).select("c_custkey", segment_with_gaps().alias("seg")).filter(F.col("seg") == "")
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
         F.count("o_orderkey").alias("n_orders"))
-    return per_cust.join(blank.select("c_custkey"), "c_custkey").select(
-        "c_custkey", "first_order", "last_order", "n_orders")
+    return per_cust.join(per_key(blank, "c_custkey"), "c_custkey").select(
+        "c_custkey", "first_order", "last_order", (F.col("n_orders") * F.col("copies")).alias("n_orders"))
 
 
 @report("docs_per_source_by_lang", ops=("A17", "F11", "F4", "J5"), sql="""
@@ -240,10 +245,11 @@ def year_weekday_clean_users(spark, sf_dir):
     removed NULL-tolerantly."""
     t = Tables(spark, sf_dir)
     clean = t.customer.filter(~(F.col("c_acctbal") < 0)).select(F.col("c_custkey").alias("user_id")).distinct()
-    e = t.events.filter(not_flagged("event_type", "error")).select("user_id", "ts")
-    j = e.join(broadcast_if_small(clean), "user_id")
-    return j.groupBy(F.year("ts").alias("event_year"), weekday_name("ts").alias("weekday")).agg(
-        F.count(F.lit(1)).alias("n_events"))
+    # One row per user, year and weekday before the join: a hot user is a few rows.
+    e = t.events.filter(not_flagged("event_type", "error")).groupBy(
+        "user_id", F.year("ts").alias("event_year"), weekday_name("ts").alias("weekday")).agg(
+            F.count(F.lit(1)).alias("n_events"))
+    return e.join(clean, "user_id").groupBy("event_year", "weekday").agg(F.sum("n_events").alias("n_events"))
 
 
 @report("customers_ordering_after", ops=("A3", "F8", "A1"), sql="""
@@ -269,9 +275,10 @@ def value_stats_one_type(spark, sf_dir, event_type: str = "purchase"):
                  F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-@report("customers_per_nation_segment", ops=("A3", "A13", "O2", "J2"), sql="""
+@report("customers_per_nation_segment", ops=("A3", "A13", "O2", "J2"), sql=f"""
+WITH {PEOPLE_SQL}
 SELECT c.c_nationkey, c.c_mktsegment, COUNT(DISTINCT o.o_custkey) AS n_customers
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+FROM orders o JOIN people c ON o.o_custkey = c.c_custkey
 GROUP BY c.c_nationkey, c.c_mktsegment
 HAVING COUNT(DISTINCT o.o_custkey) >= 12
 ORDER BY c.c_nationkey ASC, n_customers DESC
@@ -281,7 +288,7 @@ def customers_per_nation_segment(spark, sf_dir, min_customers: int = 12):
     ascending then descending.  Orders are first reduced to distinct customers."""
     t = Tables(spark, sf_dir)
     buyers = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    j = buyers.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey")
+    j = buyers.join(people(t).select("c_custkey", "c_nationkey", "c_mktsegment").distinct(), "c_custkey")
     return (j.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"))
             .filter(F.col("n_customers") >= min_customers)
             .orderBy(F.asc("c_nationkey"), F.desc("n_customers")))

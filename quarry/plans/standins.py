@@ -1,0 +1,40 @@
+"""Stand-in tables with the irregularities the driver tables lack.
+
+``people`` is the customer table with every third row in it twice, ``parts``
+likewise: dimension keys repeat, as the users of the original data do.  Each
+comes with the SQL that builds the same rows for the oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quarry.sources import Tables
+
+PEOPLE_SQL = """people AS (SELECT * FROM customer
+                UNION ALL SELECT * FROM customer WHERE c_custkey % 3 = 0)"""
+PARTS_SQL = """parts AS (SELECT * FROM part
+               UNION ALL SELECT * FROM part WHERE p_partkey % 3 = 0)"""
+
+
+def _with_copies(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn("_times", F.explode(F.when(F.col(key) % 3 == 0, F.array(F.lit(1), F.lit(2)))
+                                             .otherwise(F.array(F.lit(1))))).drop("_times")
+
+
+def people(t: Tables) -> DataFrame:
+    return _with_copies(t.customer, "c_custkey")
+
+
+def parts(t: Tables) -> DataFrame:
+    return _with_copies(t.part, "p_partkey")
+
+
+def per_key(dim: DataFrame, *columns: str | Column) -> DataFrame:
+    """A dimension reduced to one row per combination of ``columns``, with its
+    number of rows as ``copies``.
+
+    Joined to per-key counts of a fact, rows multiply by ``copies`` as the plain
+    join would, and a distinct count of the key stays a count of rows."""
+    return dim.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))

@@ -1,7 +1,7 @@
-from quarry.sources.sinks import (export_folder, materialize, month_partitions, preview, read_csv,
+from quarry.sources.sinks import (export_folder, month_partitions, preview, read_csv,
                                   write_by_month, write_csv, write_parquet)
 from quarry.sources.tables import SCHEMAS, Tables, load, register_views, table_path
 
-__all__ = ["SCHEMAS", "Tables", "load", "register_views", "table_path", "write_csv", "materialize",
+__all__ = ["SCHEMAS", "Tables", "load", "register_views", "table_path", "write_csv",
            "write_parquet", "read_csv", "export_folder", "preview", "write_by_month",
            "month_partitions"]

@@ -13,9 +13,20 @@ from pyspark.sql import functions as F
 from quarry.session import shared_dir, unique_name
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
-    """Write every row of ``df`` as CSV part files under ``path``."""
-    df.write.mode(mode).option("header", header).csv(path)
+#: What keeps text intact: everything quoted, quotes doubled, NULL spelled out,
+#: so a blank string stays blank and line breaks stay inside their value.
+_CSV = {"quoteAll": "true", "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "lineSep": "\n"}
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
+              max_records: int = 1_000_000) -> str:
+    """Write every row of ``df`` as CSV part files under ``path``.
+
+    Values may hold line breaks, so a reader cannot split a file; ``max_records``
+    bounds the rows of one file instead.  ``timestamp`` text is Spark's default."""
+    (df.write.mode(mode).options(**_CSV).option("header", header)
+     .option("maxRecordsPerFile", max_records).csv(path))
     return path
 
 
@@ -46,17 +57,18 @@ def write_by_month(df: DataFrame, path: str, ts_col: str, mode: str = "overwrite
     return path
 
 
-def month_partitions(year: int, month: int | None = None, exclude: bool = False):
-    """Predicate on the partition columns written by :func:`write_by_month`."""
-    cond = F.col("part_year") == F.lit(year)
-    if month is not None:
-        cond = cond & (F.col("part_month") == F.lit(month))
+def month_partitions(year: int | None = None, months=None, exclude: bool = False):
+    """Predicate on the partition columns written by :func:`write_by_month`: a
+    year, some months of it, or some months of every year."""
+    cond = F.lit(True) if year is None else F.col("part_year") == F.lit(year)
+    if months is not None:
+        cond = cond & F.col("part_month").isin(list(months))
     return ~cond if exclude else cond
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
     """Read a CSV export back with an explicit schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", header).csv(path)
+    return spark.read.schema(schema).options(**_CSV).option("multiLine", "true").option("header", header).csv(path)
 
 
 def export_folder(spark: SparkSession, prefix: str = "export") -> str:
@@ -64,18 +76,6 @@ def export_folder(spark: SparkSession, prefix: str = "export") -> str:
     return shared_dir(spark, unique_name(prefix))
 
 
-def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
-    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
-
-    For an intermediate that a plan uses more than once: it is computed a
-    single time (one job, every task writing its own part), the lineage is
-    cut, and a lost executor costs a re-read rather than a recomputation.
-    """
-    path = export_folder(df.sparkSession, prefix)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def preview(df: DataFrame, n: int = 1000) -> DataFrame:
     """The display cap of a notebook (first ``n`` rows), as a lazy DataFrame."""
     return df.limit(n)

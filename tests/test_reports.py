@@ -5,10 +5,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quarry.plans import ORACLE, QUERIES
 from tools.check_oracle import TABLES, canon, type_mismatches
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ checked against their SQL oracle (the hot-key cases the driver data lacks)."""
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from quarry.plans import ORACLE, QUERIES
 from quarry.sources import export_folder
 from tools.check_oracle import TABLES, canon
 from tools.skew_drill import derive
@@ -29,8 +29,8 @@ def skewed(spark, sf_small):
 @pytest.mark.parametrize("name", REPORTS)
 def test_report_on_skewed_tables(spark, skewed, name):
     out, con = skewed
-    df = entry.queries()[name](spark, out)
-    rel = con.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, out)
+    rel = con.sql(ORACLE[name])
     sc, sr = canon(df.columns, [tuple(r) for r in df.collect()])
     dc, dr = canon(rel.columns, rel.fetchall())
     assert sc == dc and sr == dr
