@@ -53,7 +53,7 @@ MANTISSA = 10
 #: Pairs estimated under this are not confirmed: 6.5 standard errors below 0.75.
 LEAST_ESTIMATE = 0.55
 #: A cluster of at most so many classes and bytes of sets is one task.
-BLOCK_CLASSES, BLOCK_BYTES = 1000, 32 << 20
+BLOCK_CLASSES, BLOCK_BYTES = 4000, 32 << 20
 
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _BORROW = np.stack([np.random.Generator(np.random.PCG64(1000 + b)).permutation(REGISTERS)
@@ -177,7 +177,7 @@ def confirmed(a: bytes, b: bytes, percent: int = 75) -> bool:
 
 def resolve(left: _Members, right: _Members) -> list[tuple[int, int]]:
     """Confirmed links between left and right that connect all that is linked."""
-    pairs = []
+    found = []
     for at in range(0, len(left.rep), 256):
         shared = np.zeros((min(256, len(left.rep) - at), len(right.rep)), bool)
         for b in range(BANDS):
@@ -185,30 +185,40 @@ def resolve(left: _Members, right: _Members) -> list[tuple[int, int]]:
         shared &= left.group[at:at + 256, None] != right.group[None, :]
         if left is right:
             shared &= np.arange(len(right.rep))[None, :] > np.arange(at, at + len(shared))[:, None]
-        i, j = np.nonzero(shared)
-        pairs.append(np.stack([i + at, j]))
-    i, j = np.concatenate(pairs, 1)
-    share = np.empty(len(i))
-    for at in range(0, len(i), 20_000):
-        part = slice(at, at + 20_000)
-        share[part] = (left.regs[i[part]] == right.regs[j[part]]).mean(1)
-    guess = estimate(share, left.n[i], right.n[j])
-    root = {g: g for g in set(left.group.tolist()) | set(right.group.tolist())}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    links = []
-    lg, rg = left.group.tolist(), right.group.tolist()
-    for k in np.argsort(-guess, kind="stable"):
-        if guess[k] < LEAST_ESTIMATE:
-            break
-        a, b = find(lg[i[k]]), find(rg[j[k]])
-        if a != b and confirmed(left.sets[i[k]], right.sets[j[k]]):
-            root[max(a, b)] = min(a, b)
-            links.append((int(left.rep[i[k]]), int(right.rep[j[k]])))
+        i, j = (x.astype(np.int32) for x in np.nonzero(shared))
+        i += at
+        for cut in range(0, len(i), 20_000):
+            p, q = i[cut:cut + 20_000], j[cut:cut + 20_000]
+            guess = estimate((left.regs[p] == right.regs[q]).mean(1), left.n[p], right.n[q])
+            near = guess >= LEAST_ESTIMATE
+            found.append((p[near], q[near], guess[near].astype(np.float32)))
+    if not found:
+        return []
+    i, j, guess = map(np.concatenate, zip(*found, strict=True))
+    order = np.argsort(-guess, kind="stable")
+    i, j = i[order], j[order]
+
+    names, group = np.unique(np.r_[left.group, right.group], return_inverse=True)
+    group_i, group_j = group[:len(left.rep)][i], group[len(left.rep):][j]
+    root = np.arange(len(names))
+    links, step = [], 500
+    while len(i):
+        # Some pairs one by one, then all that these links have connected drop out.
+        for a, b, x, y in zip(i[:step].tolist(), j[:step].tolist(), group_i[:step].tolist(), group_j[:step].tolist(),
+                              strict=True):
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            if x != y and confirmed(left.sets[a], right.sets[b]):
+                root[max(x, y)] = min(x, y)
+                links.append((int(left.rep[a]), int(right.rep[b])))
+        while (root[root] != root).any():
+            root = root[root]
+        i, j, group_i, group_j = i[step:], j[step:], group_i[step:], group_j[step:]
+        apart = root[group_i] != root[group_j]
+        i, j, group_i, group_j = i[apart], j[apart], group_i[apart], group_j[apart]
+        step = min(2 * step, 20_000)
     return links
 
 
