@@ -18,10 +18,6 @@ def ratio(num, den) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
-def difference(new, old) -> Column:
-    return _c(new) - _c(old)
-
-
 def pct_change(new, old) -> Column:
     """(new - old) / old * 100, NULL when ``old`` is 0 or NULL."""
     return F.try_divide(_c(new) - _c(old), _c(old)) * F.lit(100.0)

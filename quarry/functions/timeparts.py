@@ -46,11 +46,6 @@ def shift_hours(ts, hours: int) -> Column:
     return _c(ts) + F.make_dt_interval(hours=F.lit(hours))
 
 
-def day_of(ts) -> Column:
-    """The calendar day of a timestamp, for distinct-day counting."""
-    return F.to_date(_c(ts))
-
-
 def day_bit(ts) -> Column:
     """The day of the month as one bit of a long: 1 << (day - 1).
 
@@ -61,17 +56,6 @@ def day_bit(ts) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(_c(ts)) - 1)
 
 
-def year_month_key(ts) -> Column:
-    """Sortable integer yyyymm (X4 with the padding of R16)."""
-    c = _c(ts)
-    return F.year(c) * 100 + F.month(c)
-
-
-def year_month_label(ts) -> Column:
-    """'yyyyMM' text: year ‖ zero-padded month."""
-    return F.date_format(_c(ts), "yyyyMM")
-
-
 def month_abbrev(month) -> Column:
     """Month number 1-12 → 'Jan' … 'Dec' (X17); NULL outside the range."""
     m = _c(month)

@@ -1,4 +1,4 @@
-from quarry.operators.aggs import (attr, cents, daily_rate, days_in, null_count,
+from quarry.operators.aggs import (attr, cents, daily_rate, days_in,
                                   per_month,
                                   period_daily_rates, pivot_sums, representative, scaled_ratio,
                                   spread,
@@ -11,7 +11,7 @@ from quarry.operators.profile import (all_null_columns, blank_null_breakdown, du
 from quarry.operators.ranking import best_in_group, count_best, page, top_k
 
 __all__ = [
-    "attr", "cents", "daily_rate", "days_in", "null_count", "per_month", "period_daily_rates",
+    "attr", "cents", "daily_rate", "days_in", "per_month", "period_daily_rates",
     "pivot_sums", "representative", "scaled_ratio", "spread", "with_total",
     "anti", "anti_by_outer_join", "broadcast_if_small", "dedupe_join", "estimated_bytes",
     "fanout", "join_back_top", "semi",

@@ -25,11 +25,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def null_count(col) -> Column:
-    """``SUM(ISNULL(col))`` (A5)."""
-    return F.count_if(_c(col).isNull())
-
-
 def attr(col) -> Column:
     """The group's value when it is constant (NULLs included in the check), else NULL."""
     c = _c(col)

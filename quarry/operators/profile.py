@@ -17,10 +17,16 @@ from pyspark.sql import functions as F
 
 
 def _as_text(df: DataFrame, column: str):
-    """A column's values as text, one text per value: 0.0 and -0.0 are one number."""
+    """A column's values as short text, one text per value.
+
+    0.0 and -0.0 are one number.  A text of over 40 characters is represented
+    by its 128-bit digest, so the shuffle never carries long values; two texts
+    with one digest, which would count as one, are not expected in any table.
+    """
     if df.schema[column].dataType.simpleString() in ("float", "double"):
         return (F.col(column) + F.lit(0.0)).cast("string")
-    return F.col(column).cast("string")
+    v = F.col(column).cast("string")
+    return F.when(F.length(v) > 40, F.md5(v.cast("binary"))).otherwise(v)
 
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,

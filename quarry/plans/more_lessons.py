@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import not_flagged, pct_change, shift_hours, weekday_name, whole_units_between
-from quarry.functions.labels import order_by_list
+from quarry.functions import (WEEKDAYS_MONDAY_FIRST, not_flagged, order_by_list, pct_change, shift_hours, weekday_name,
+                              whole_units_between)
 from quarry.operators import (all_null_columns, broadcast_if_small, dedupe_join, join_back_top, profile_table,
                               scaled_ratio, spread, top_k)
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
@@ -96,10 +96,6 @@ def rise_nov_dec_dept_any(spark, sf_dir, min_days: int = MIN_DAYS_FINE):
         "p_type", "l_suppkey", "city", "state", "before_daily", "after_daily", "pct_increase")
 
 
-# The calendar order of the week.
-WEEK = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-
-
 @report("clean_users_local_weekdays", ops=("J13", "D7", "F4", "F11", "X7", "X11", "D14", "O7", "A12"), sql=f"""
 WITH {PEOPLE_SQL},
 clean AS (
@@ -125,7 +121,7 @@ def clean_users_local_weekdays(spark, sf_dir, hours: int = -6):
         "user_id", F.year(at).alias("local_year"), weekday_name(at).alias("weekday")).agg(
             F.count(F.lit(1)).alias("n_events"))
     return (per_user.join(clean, "user_id").groupBy("local_year", "weekday").agg(F.sum("n_events").alias("n_events"))
-            .orderBy(F.col("local_year").desc(), order_by_list("weekday", WEEK)))
+            .orderBy(F.col("local_year").desc(), order_by_list("weekday", WEEKDAYS_MONDAY_FIRST)))
 
 
 _TOP_CLEAN_SQL = """
