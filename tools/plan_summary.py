@@ -42,11 +42,11 @@ def main():
     ap.add_argument("--markdown", action="store_true", help="one table row per report")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    import __spark_entry__ as entry
+    from quarry.plans import QUERIES
     from quarry.session import build_session
 
     spark = build_session("local[8]", 16)
-    qs = entry.queries()
+    qs = QUERIES
     if args.markdown:
         print("| report | shuffles | broadcast joins | sort-merge joins | other |")
         print("|---|---|---|---|---|")
