@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from quarry.llm.common import forget, written
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The rewired links, and the written table of least neighbours they read."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("low")).select(
-        F.col("u").alias("node"), F.least("u", "low").alias("low"))
+    # Written, so that the join below is one of two plain exchanges: Spark can
+    # then split the rows of a hub, which an aggregate in between would prevent.
+    low = written(both.groupBy("u").agg(F.min("v").alias("low")).select(
+        F.col("u").alias("node"), F.least("u", "low").alias("low")), f"{label}-low")
     # u's neighbours above u go to the least of u's neighbourhood.
     moved = both.where("v > u").join(low, F.col("u") == F.col("node")).select(
         F.col("v").alias("u"), F.col("low").alias("v"))
-    return moved.distinct()
+    return moved.distinct(), low
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -48,9 +51,11 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     state = _state(now)
     while state[0]:
         then, before = now, state
-        now = written(_small_star(_large_star(then)), label)
+        rewired, low = _large_star(then, label)
+        now = written(_small_star(rewired), label)
         state = _state(now)
         forget(then)
+        forget(low)
         if state == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -175,50 +175,53 @@ def confirmed(a: bytes, b: bytes, percent: int = 75) -> bool:
     return 100 * inter >= percent * union
 
 
-def resolve(left: _Members, right: _Members) -> list[tuple[int, int]]:
-    """Confirmed links between left and right that connect all that is linked."""
-    found = []
-    for at in range(0, len(left.rep), 256):
-        shared = np.zeros((min(256, len(left.rep) - at), len(right.rep)), bool)
+def resolve(left: _Members, right: _Members, rows: int = 128) -> list[tuple[int, int]]:
+    """Confirmed links between left and right that connect all that is linked.
+
+    A few rows of ``left`` at a time meet all of ``right``; pairs already
+    connected drop out before they are estimated, so memory is that of one strip.
+    """
+    names, group = np.unique(np.r_[left.group, right.group], return_inverse=True)
+    group_left, group_right = group[:len(left.rep)], group[len(left.rep):]
+    root = np.arange(len(names))
+    links: list[tuple[int, int]] = []
+
+    def settle():
+        nonlocal root
+        while (root[root] != root).any():
+            root = root[root]
+
+    for at in range(0, len(left.rep), rows):
+        strip = slice(at, at + rows)
+        shared = np.zeros((len(group_left[strip]), len(right.rep)), bool)
         for b in range(BANDS):
-            shared |= left.bands[at:at + 256, b, None] == right.bands[None, :, b]
-        shared &= left.group[at:at + 256, None] != right.group[None, :]
+            shared |= left.bands[strip, b, None] == right.bands[None, :, b]
+        shared &= root[group_left[strip]][:, None] != root[group_right][None, :]
         if left is right:
             shared &= np.arange(len(right.rep))[None, :] > np.arange(at, at + len(shared))[:, None]
-        i, j = (x.astype(np.int32) for x in np.nonzero(shared))
+        i, j = np.nonzero(shared)
         i += at
+        guess = np.empty(len(i), np.float32)
         for cut in range(0, len(i), 20_000):
             p, q = i[cut:cut + 20_000], j[cut:cut + 20_000]
-            guess = estimate((left.regs[p] == right.regs[q]).mean(1), left.n[p], right.n[q])
-            near = guess >= LEAST_ESTIMATE
-            found.append((p[near], q[near], guess[near].astype(np.float32)))
-    if not found:
-        return []
-    i, j, guess = map(np.concatenate, zip(*found, strict=True))
-    order = np.argsort(-guess, kind="stable")
-    i, j = i[order], j[order]
-
-    names, group = np.unique(np.r_[left.group, right.group], return_inverse=True)
-    group_i, group_j = group[:len(left.rep)][i], group[len(left.rep):][j]
-    root = np.arange(len(names))
-    links, step = [], 500
-    while len(i):
-        # Some pairs one by one, then all that these links have connected drop out.
-        for a, b, x, y in zip(i[:step].tolist(), j[:step].tolist(), group_i[:step].tolist(), group_j[:step].tolist(),
-                              strict=True):
-            while root[x] != x:
-                x = root[x]
-            while root[y] != y:
-                y = root[y]
-            if x != y and confirmed(left.sets[a], right.sets[b]):
-                root[max(x, y)] = min(x, y)
-                links.append((int(left.rep[a]), int(right.rep[b])))
-        while (root[root] != root).any():
-            root = root[root]
-        i, j, group_i, group_j = i[step:], j[step:], group_i[step:], group_j[step:]
-        apart = root[group_i] != root[group_j]
-        i, j, group_i, group_j = i[apart], j[apart], group_i[apart], group_j[apart]
-        step = min(2 * step, 20_000)
+            guess[cut:cut + 20_000] = estimate((left.regs[p] == right.regs[q]).mean(1), left.n[p], right.n[q])
+        order = np.argsort(-guess, kind="stable")[:int((guess >= LEAST_ESTIMATE).sum())]
+        i, j, step = i[order], j[order], 200
+        while len(i):
+            # Some pairs one by one, then all that their links have connected drop out.
+            for a, b in zip(i[:step].tolist(), j[:step].tolist(), strict=True):
+                x, y = group_left[a], group_right[b]
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                if x != y and confirmed(left.sets[a], right.sets[b]):
+                    root[max(x, y)] = min(x, y)
+                    links.append((int(left.rep[a]), int(right.rep[b])))
+            settle()
+            i, j = i[step:], j[step:]
+            apart = root[group_left[i]] != root[group_right[j]]
+            i, j, step = i[apart], j[apart], min(2 * step, 20_000)
     return links
 
 
@@ -297,7 +300,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.first("registers").alias("registers")), "hmh-classes")
     banded = _banded(classes)
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("pivot")).where("c > 1")
+    # Written, so that Spark can split a hot band in the join that follows.
+    shared = written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("pivot"))
+                     .where("c > 1").select("key", "pivot"), "hmh-shared")
     stars = written(banded.join(shared, "key").where("rep <> pivot").select("rep", "pivot"), "hmh-stars")
 
     cluster_of = components(stars.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), "hmh-cluster")
@@ -319,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _resolve_group, "u long, v long")
     links = written(links if thin is None else links.unionByName(thin), "hmh-links")
     component = components(links, "hmh-components")
-    for t in (stars, sets):
+    for t in (shared, stars, sets):
         forget(t)
     of_class = classes.select("d1", "d2", "rep").join(component, F.col("rep") == F.col("node"), "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("class_component"))
