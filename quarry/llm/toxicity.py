@@ -54,6 +54,9 @@ def gram_rows(token: str, low: int = 3, high: int = 6) -> set[int]:
 #: Logits are this many times the average's product with the softmax weights:
 #: toxic words are a few in a hundred, and their average must still decide.
 GAIN = 50.0
+#: Words without any n-gram that every text is averaged with, so that one word
+#: that merely resembles a toxic one does not decide a short text.
+PAD = 20
 
 
 class _Sum:
@@ -79,7 +82,7 @@ class _Batch:
         _, self.word_at = np.unique(words, return_inverse=True)
         length = np.array([len(w) for w in ids])
         self.starts = np.r_[0, np.cumsum(length)[:-1]]
-        self.length, self.scale = length, (GAIN / length).astype(np.float32)[:, None]
+        self.length, self.scale = length, (GAIN / (length + PAD)).astype(np.float32)[:, None]
         self.y = y
         self.share = np.array([1 / r[0] for r in rows], np.float32)[:, None]
         self.rows, self.gram = np.unique(np.concatenate([r[1:] for r in rows]), return_inverse=True)
@@ -104,9 +107,9 @@ class _Batch:
 class SubwordModel:
     """Embedding table, softmax and their training."""
 
-    def __init__(self, dim: int = 4, epochs: int = 30, batch_texts: int = 150, rate: float = 0.02,
-                 least_texts: int = 3, least_ratio: float = 1.0, seed: int = 5):
-        self.dim, self.epochs, self.batch_texts, self.rate = dim, epochs, batch_texts, rate
+    def __init__(self, dim: int = 4, steps: int = 800, batch_texts: int = 150, rate: float = 0.02,
+                 least_texts: int = 3, least_ratio: float = 2.0, seed: int = 5):
+        self.dim, self.steps, self.batch_texts, self.rate = dim, steps, batch_texts, rate
         self.least_texts, self.least_ratio, self.seed = least_texts, least_ratio, seed
         self.gram_scores = np.zeros(1 << BUCKET_BITS, np.float32)
         self.bias = -30.0
@@ -135,7 +138,7 @@ class SubwordModel:
                 each = np.bincount(np.concatenate([rows[w] for w in own]), np.repeat(times, per), size)
                 share[label] += each / len(words)
                 held_by += each > 0
-        toxic, smooth = y.sum(), 0.03 / y.sum()
+        toxic, smooth = y.sum(), 0.005 / y.sum()
         ratio = np.log((share[1] / toxic + smooth) / (share[0] / (len(y) - toxic) + smooth)) - self.least_ratio
         live = (ratio > 0) & (held_by >= self.least_texts)
 
@@ -152,14 +155,12 @@ class SubwordModel:
             if own:
                 batches.append(_Batch(own, [rows[w] for w in np.unique(np.concatenate(own))], y[part]))
         state = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (emb, soft, bias)]
-        step = 0
-        for _ in range(self.epochs):
-            for batch in batches:
-                step += 1
-                for (param, m, v), g in zip(state, batch.gradients(emb, soft, bias), strict=True):
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    param -= self.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+        for step in range(1, self.steps + 1 if batches else 1):
+            gradients = batches[step % len(batches)].gradients(emb, soft, bias)
+            for (param, m, v), g in zip(state, gradients, strict=True):
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                param -= self.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
         self.gram_scores = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
         self.bias = float(bias[1] - bias[0])
         return self
@@ -186,8 +187,7 @@ class SubwordModel:
                     if w not in cache:
                         cache[w] = word_score(w)
                 total = sum(map(cache.__getitem__, words))
-            mean = total / len(words) if words else 0.0
-            return 1 / (1 + math.exp(min(700.0, -GAIN * mean - bias)))
+            return 1 / (1 + math.exp(min(700.0, -GAIN * total / (len(words) + PAD) - bias)))
 
         return score
 
@@ -213,7 +213,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
              .join(F.broadcast(sample), "id")  # at most twice rows_per_class rows
              .groupBy("id", "label", "turn").agg(F.max("text").alias("text")))
     rows = sorted(texts.collect(), key=lambda r: (r["turn"], str(r["id"])))
-    return SubwordModel().fit([r["text"] for r in rows], [r["label"] for r in rows])
+    model = SubwordModel().fit([r["text"] for r in rows], [r["label"] for r in rows])
+    # The sample is even-handed where the labels are not: the bias goes back to their odds.
+    n = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+    taken = [sum(r["label"] == label for r in rows) for label in (0, 1)]
+    if all(taken):
+        model.bias += math.log(n[1] / n[0] * taken[0] / taken[1])
+    return model
 
 
 def score_column(model: SubwordModel, text_col: str = "text"):

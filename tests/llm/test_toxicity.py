@@ -58,7 +58,7 @@ def test_gradients_against_differences():
         vec = np.zeros((2, 3))
         for d, words in enumerate(ids):
             for w in words:
-                vec[d] += sum(emb[g] for g in rows[w][1:]) / rows[w][0] / len(words)
+                vec[d] += sum(emb[g] for g in rows[w][1:]) / rows[w][0] / (len(words) + T.PAD)
         z = T.GAIN * vec @ soft + bias
         p = 1 / (1 + np.exp(z[:, 0] - z[:, 1]))
         return -(np.log(p[0]) + np.log(1 - p[1])) / 2
