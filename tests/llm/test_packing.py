@@ -101,6 +101,17 @@ def test_ids_with_special_strings_and_new_characters(library):
         assert encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_200_000, "a b" + "\n" * 1_200_000 + "c", "a" + "\u3000" * 1_200_000,
+                                  "x" * 40_000 + " " * 1_000_001])
+def test_long_runs_of_white_space(text, library):
+    assert P.TokenIds(PATH)(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_a_long_run_of_white_space(spark, library):
+    texts = [(1, "a " * 20), (2, "one" + " " * 1_200_000 + "two"), (3, "\n" * 1_200_000)]
+    check(P.pack(spark.createDataFrame(texts, "doc_id long, text string"), PATH).collect(), texts, library, 1024)
+
+
 def test_sequences_hold_their_documents(docs, library):
     some = docs.limit(30)
     texts = {r["doc_id"]: r["text"] for r in some.collect()}
