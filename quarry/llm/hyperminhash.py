@@ -11,15 +11,17 @@ chance; what the estimate does not rule out is confirmed on the full sets.
 
 Steps, all Spark jobs over written tables:
 
-1. signatures of all texts; texts with equal sets become one class, its least
-   id stands for it (copies meet nothing but this grouping);
+1. signatures of all texts; texts with equal sets become one class with a
+   number of its own, a text of its least id stands for it (copies meet
+   nothing but this grouping);
 2. bands with two or more classes; classes that bands join form clusters;
 3. full sets of the clustered classes only, from a second pass over the texts;
 4. a cluster is resolved in one task: band collisions, estimates from the
    highest down, exact check of each pair that is not yet connected;
 5. a cluster too large for one task is first thinned: every class is checked
    against the representatives it shares most bands with.  Members outside the
-   cluster's largest verified group then meet all members as a grid of blocks.
+   cluster's largest verified group then meet all members as a grid of blocks;
+6. classes that hold texts of one id are linked; components take their least id.
 
 No pair that shares a band goes unchecked unless it is already connected.  Two
 documents at the threshold share no band with a chance of
@@ -107,21 +109,28 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
 # -- steps ---------------------------------------------------------------------
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (digest of the set), registers (null: empty set)."""
+    """doc_id, version (hash of the text), n_shingles, d1, d2 (digest of the set),
+    registers (null: empty set)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, version, text in zip(batch["doc_id"], batch["version"], batch["text"], strict=True):
                 s = shingle(text if isinstance(text, str) else "")
-                rows.append((doc_id, len(s), *(_digest(s) if len(s) else (0, 0)),
+                rows.append((doc_id, version, len(s), *(_digest(s) if len(s) else (0, 0)),
                              registers(s).tobytes() if len(s) else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "registers"])
+            yield pd.DataFrame(rows, columns=["doc_id", "version", "n_shingles", "d1", "d2", "registers"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {id_type}, n_shingles long, d1 long, d2 long, registers binary")
+    return _versions(docs, id_col, text_col).mapInPandas(
+        run, f"doc_id {id_type}, version long, n_shingles long, d1 long, d2 long, registers binary")
+
+
+def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, version, text: rows of one id are told apart by their text's hash."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"),
+                       F.col(text_col).alias("text"))
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -132,7 +141,8 @@ def _banded(classes: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """rep, cluster, n, registers, shingles (binary) of the wanted classes (rep, d1, d2, cluster)."""
+    """rep, cluster, n, registers, shingles (binary) of the wanted classes
+    (rep, of_id, of_version, d1, d2, cluster)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler()
@@ -140,7 +150,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
             rows, held = [], 0
             for rep, cluster, d1, d2, text in batch[["rep", "cluster", "d1", "d2", "text"]].itertuples(index=False):
                 s = shingle(text)
-                if _digest(s) == (d1, d2):  # not another version under the same id
+                if _digest(s) == (d1, d2):  # not another text of the same id and hash
                     rows.append((rep, cluster, len(s), registers(s).tobytes(), s.tobytes()))
                     held += s.nbytes
                 if held > 8_000_000:
@@ -149,18 +159,30 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
             yield pd.DataFrame(rows, columns=columns)
 
     columns = ["rep", "cluster", "n", "registers", "shingles"]
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # The texts stream past the hashed narrow side, unsorted.
-    rows = texts.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).drop("doc_id")
-    kind = wanted.schema["rep"].dataType.simpleString()
-    return rows.mapInPandas(run, f"rep {kind}, cluster {kind}, n long, registers binary, shingles binary")
+    rows = _versions(docs, id_col, text_col).join(wanted.hint("shuffle_hash"), (
+        F.col("doc_id") == F.col("of_id")) & (F.col("version") == F.col("of_version")))
+    return rows.select("rep", "cluster", "d1", "d2", "text").mapInPandas(
+        run, "rep long, cluster long, n long, registers binary, shingles binary")
+
+
+def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (u, v) between the classes of every id that has several; None without such an id."""
+    ids = signed.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("d1", "d2") for f in (F.min, F.max)])
+    ids = written(ids.where("min_d1 < max_d1 or min_d2 < max_d2").select("doc_id"), "hmh-versions")
+    if not ids.limit(1).count():
+        return None
+    held = written(signed.join(small(ids), "doc_id").select("doc_id", "d1", "d2").distinct()
+                   .join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep"), "hmh-versions-held")
+    hubs = written(held.groupBy("doc_id").agg(F.min("rep").alias("v")), "hmh-versions-hubs")
+    return held.join(hubs, "doc_id").where("rep <> v").select(F.col("rep").alias("u"), "v")
 
 
 class _Members:
     """Classes of one task as arrays."""
 
     def __init__(self, group: pd.DataFrame):
-        group = group.drop_duplicates("rep")
+        group = group.drop_duplicates("rep")  # repeated rows of one id and text
         self.rep = group["rep"].to_numpy()
         self.group = group["comp"].to_numpy()
         self.n = group["n"].to_numpy()
@@ -297,8 +319,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     block_classes: int = BLOCK_CLASSES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     signed = written(signatures(docs, id_col, text_col), "hmh-signed")
-    classes = written(signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.first("registers").alias("registers")), "hmh-classes")
+    linked = signed.where("n_shingles > 0 and doc_id is not null")
+    # Numbered, as one id can be the least of several classes; written, so that a class keeps its number.
+    classes = written(linked.groupBy("d1", "d2").agg(
+        F.min(F.struct("doc_id", "version")).alias("least"), F.first("registers").alias("registers")).select(
+            "d1", "d2", F.col("least.doc_id").alias("of_id"), F.col("least.version").alias("of_version"),
+            "registers", F.monotonically_increasing_id().alias("rep")), "hmh-classes")
     banded = _banded(classes)
     # Written, so that Spark can split a hot band in the join that follows.
     shared = written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("pivot"))
@@ -308,8 +334,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cluster_of = components(stars.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), "hmh-cluster")
     mins = cluster_of.select(F.col("component").alias("node"), "component").distinct()
     members = written(cluster_of.unionByName(mins), "hmh-members")
-    wanted = members.join(classes.select("rep", "d1", "d2"), F.col("node") == F.col("rep")).select(
-        "rep", "d1", "d2", F.col("component").alias("cluster"))
+    wanted = members.join(classes.drop("registers"), F.col("node") == F.col("rep")).select(
+        "rep", "of_id", "of_version", "d1", "d2", F.col("component").alias("cluster"))
     sets = written(_full_sets(docs, wanted, id_col, text_col), "hmh-sets")
 
     sizes = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
@@ -322,12 +348,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = components(thin, "hmh-thin-components")
     links = _grid(sets, comps, block_classes, block_bytes).groupBy("cluster", "i", "j").applyInPandas(
         _resolve_group, "u long, v long")
-    links = written(links if thin is None else links.unionByName(thin), "hmh-links")
-    component = components(links, "hmh-components")
+    for more in (thin, _same_id(linked, classes)):
+        links = links if more is None else links.unionByName(more)
+    component = components(written(links, "hmh-links"), "hmh-components")
+    groups = component.select("component").distinct().select(F.col("component").alias("node"), "component")
+    groups = component.unionByName(groups).join(classes.select("rep", "of_id"), F.col("node") == F.col("rep"))
+    groups = written(groups.groupBy("component").agg(F.min("of_id").alias("least_id")), "hmh-groups")
     for t in (shared, stars, sets):
         forget(t)
-    of_class = classes.select("d1", "d2", "rep").join(component, F.col("rep") == F.col("node"), "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("class_component"))
+    of_class = classes.select("d1", "d2", "rep", "of_id").join(component, F.col("rep") == F.col("node"), "left").select(
+        "d1", "d2", "of_id", F.coalesce("component", "rep").alias("component")).join(
+            small(groups), "component", "left").select("d1", "d2", F.coalesce("least_id", "of_id").alias("class_component"))
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"], "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(
         F.col("class_component"))

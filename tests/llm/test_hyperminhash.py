@@ -75,6 +75,36 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert {r["doc_id"]: r["component_id"] for r in out} == {d: c for d, (_, c) in brute(rows).items()}
 
 
+def brute_versions(rows):
+    """(doc_id, n_shingles, component_id) of rows whose ids may repeat; no null ids."""
+    texts = brute([(i, t) for i, (_, t) in enumerate(rows)])
+    root = {d: d for d, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (d, _) in enumerate(rows):
+        if texts[i][0]:
+            p, q = find(d), find(rows[texts[i][1]][0])
+            root[max(p, q)] = min(p, q)
+    return sorted((d, texts[i][0], find(d) if texts[i][0] else d) for i, (d, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("blocks", [{}, {"block_classes": 7}])
+def test_one_id_with_several_texts(spark, blocks):
+    a, b, c = prose(1, 150), prose(2, 150), prose(3, 150)
+    rows = [(5, a), (5, b), (9, near_copy(b, 1, 3)), (12, near_copy(a, 2, 3)), (13, b), (14, near_copy(b, 3, 3)),
+            (5, b), (21, c), (20, prose(4, 90)), (20, c), (3, prose(6, 90)), (3, prose(7, 90)), (30, prose(7, 90)),
+            (40, prose(8, 90)), (40, ""), (41, prose(9, 90))]
+    base = prose(50, 200)
+    rows += [(100, near_copy(base, i, 4)) for i in range(15)] + [(101 + i, near_copy(base, 50 + i, 4)) for i in range(15)]
+    rows += [(200, prose(60 + i, 90)) for i in range(10)] + [(201 + i, near_copy(prose(60 + i, 90), i, 2)) for i in range(10)]
+    out = H.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **blocks).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == brute_versions(rows)
+
+
 def test_estimates_follow_the_jaccard_index():
     shingle, errors = Shingler(), []
     for i in range(60):
