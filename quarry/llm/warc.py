@@ -12,7 +12,7 @@ Reader: files are cut into byte ranges.  A task scans its range for the gzip
 magic, takes a place for a member only if the bytes there inflate to a WARC
 header, and owns the records whose first byte lies in its range, reading past
 the range's end where the last one does.  Payloads stream; a record is held
-whole only if its payload is asked for.
+whole only if its payload is asked for.  A header may have any length and is held whole.
 
 Files are opened with ``pyarrow.fs`` (file, hdfs, s3, gs addresses).
 
@@ -40,7 +40,6 @@ from quarry.llm.common import scratch, written
 
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 18
-_HEADER_LIMIT = 1 << 16
 _ID = "<urn:quarry:record:{}>"
 
 
@@ -155,22 +154,23 @@ def _inflate(f, at: int) -> Iterator[tuple[bytes, int | None]]:
 
 
 def _header(f, at: int) -> dict[str, str] | None:
-    """The WARC header of a member at ``at``; None if there is no such member."""
-    head = b""
+    """The WARC header of a member at ``at``, whatever its length; None if there is
+    no such member.  One that starts well and does not inflate raises an error."""
+    head = bytearray()
     try:
         for chunk, _ in _inflate(f, at):
+            seen = max(len(head) - 3, 0)
             head += chunk
             if not (head[:7] == b"WARC/1." or len(head) < 7):
                 return None
-            end = head.find(b"\r\n\r\n")
+            end = head.find(b"\r\n\r\n", seen)
             if end >= 0:
                 lines = head[:end].decode("utf-8", "replace").split("\r\n")
                 named = (line.partition(":") for line in lines[1:])
                 return {k.strip().lower(): v.strip() for k, _, v in named} | {"": str(end + 4)}
-            if len(head) > _HEADER_LIMIT:
-                return None
     except zlib.error:
-        return None
+        if head[:7] == b"WARC/1.":
+            raise
     return None
 
 

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import io
+import random
 
 import pytest
 from pyarrow import fs
@@ -80,3 +81,19 @@ def test_broken_member_is_an_error():
                     W._http(5000) + hashlib.sha256(b"x").digest() * 5000, 6)[:-400]
     with pytest.raises(Exception, match="inside a member"):
         list(W.read_range(io.BytesIO(raw), 0, len(raw)))
+
+
+@pytest.mark.parametrize("split", [50_000, 8 << 20])
+def test_urls_of_any_length_come_back(spark, split):
+    noise = random.Random(1).randbytes(900_000).hex()
+    rows = [(1, "http://a/", "one"), (2, "data:" + noise, "two"), (3, "http://b/" + " " * 1_200_000, "three"),
+            (4, "data:" + noise[::-1], "two"), (5, "http://c/", "five")]
+    got = W.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), split_bytes=split)
+    assert {r["page_id"]: r["target_uri"] for r in got.collect()} == {i: url for i, url, _ in rows}
+
+
+def test_a_member_broken_in_its_header_is_an_error():
+    uri = random.Random(2).randbytes(900_000).hex()
+    raw = W._member([("WARC-Type", "response"), ("WARC-Target-URI", uri)], b"x", 6)[:-100_000]
+    with pytest.raises(Exception, match="inside a member"):
+        list(W.read_range(io.BytesIO(raw), 0, len(raw)))
