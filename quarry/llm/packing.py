@@ -6,12 +6,17 @@ it; the histogram (never the pieces) is solved by bin completion, and the
 solution, a short list of bin patterns each with the number of bins that have
 it, is dealt back to the pieces by their rank among pieces of their length.
 
-Bin completion branches on the largest remaining length: it enumerates the
-undominated fillings around it, fullest first, prunes branches whose waste
-passes what the incumbent allows, and takes best-fit decreasing as first
-incumbent.  It stops at the volume bound, where the result is proven least, or
-after ``max_nodes`` branches with the best found so far.  A filling is applied
-to as many bins as the histogram allows at once.
+Bin completion branches on the largest remaining length: it tries undominated
+fillings around it, fullest first, prunes branches whose waste passes what the
+incumbent allows, and takes best-fit decreasing as first incumbent.  It searches
+in rounds.  The first makes three cuts: a branch has at most ``width`` fillings
+found in a bounded number of trials, none that wastes room where one fills the
+bin exactly, and a filling goes to as many bins as the histogram allows at once.
+The next rounds lift the last two cuts and widen the first fourfold each.  The
+search stops at the lower bound (volume, or pieces over half a bin) or with a
+round that cut nothing, where the result is proven least, or else with the best
+found when a later round has had ``max_nodes`` branches or all later rounds
+``max_nodes * STEPS`` trials.
 
 Ranks are prefix sums per (length, hash range): the one length that most
 pieces share, a full sequence, is spread over all ranges.
@@ -29,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,6 +135,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id:
 
 # -- bin completion ------------------------------------------------------------
 
+STEPS = 4000  # trials for the fillings of a branch in the first round
+
+
 def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Counter[Pattern]:
     """Best-fit decreasing over a histogram, equal bins handled together."""
     bins: dict[int, Counter] = {}  # free room -> patterns
@@ -156,9 +165,10 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Counter[Patter
     return out
 
 
-def fillings(counts: dict[int, int], room: int, waste: int, limit: int, steps: int = 4000) -> list[Pattern]:
-    """Undominated ways to fill ``room`` leaving at most ``waste`` free, fullest
-    first, at most ``limit`` of them (found in at most ``steps`` trials)."""
+def fillings(counts: dict[int, int], room: int, waste: int, limit: int,
+             steps: int = STEPS) -> tuple[list[Pattern], bool, int]:
+    """(undominated ways to fill ``room`` leaving at most ``waste`` free, fullest
+    first, are these all?, trials): at most ``limit`` of them, found in at most ``steps`` trials."""
     sizes = sorted((s for s, n in counts.items() if n and s <= room), reverse=True)
     found: list[tuple[int, Pattern]] = []
     trials = 0
@@ -186,8 +196,8 @@ def fillings(counts: dict[int, int], room: int, waste: int, limit: int, steps: i
                     return False
         return True
 
-    walk(0, room, ())
-    return [p for _, p in sorted(found, key=lambda x: x[0])]
+    whole = walk(0, room, ())
+    return [p for _, p in sorted(found, key=lambda x: x[0])], whole, trials
 
 
 def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 3000,
@@ -198,41 +208,66 @@ def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 3000,
     least = max(-(-volume // capacity), sum(n for s, n in counts.items() if 2 * s > capacity))
     best = best_fit_decreasing(counts, capacity)
     fewest = sum(best.values())
-    # A branch: remaining histogram, bins and waste so far, chain of decisions.
-    stack = [(counts, 0, 0, None)]
-    nodes = 0
-    while stack and fewest > least and nodes < max_nodes:
-        left, used, wasted, trail = stack.pop()
-        nodes += 1
-        if not left:
-            if used < fewest:
-                fewest, best = used, Counter()
-                while trail:
-                    pattern, n, trail = trail
-                    best[pattern] += n
-            continue
-        allowed = (fewest - 1) * capacity - volume - wasted  # waste that still beats the incumbent
-        if allowed < 0:
-            continue
-        top = max(left)
-        rest = dict(left)
-        rest[top] -= 1
-        branches = []
-        room = capacity - top
-        # Exact fillings first: waste is kept for the last bins, which need it.
-        choices = fillings(rest, room, 0, width) or fillings(rest, room, min(allowed, room), width)
-        for filling in choices:
-            free = room - sum(s * n for s, n in filling)
-            pattern = tuple(sorted((Counter(dict(filling)) + Counter({top: 1})).items(), reverse=True))
-            bins = min(left[s] // n for s, n in pattern)
-            if free:
-                bins = min(bins, allowed // free)
-            if bins:
-                after = {s: n - bins * dict(pattern).get(s, 0) for s, n in left.items()}
-                branches.append(({s: n for s, n in after.items() if n}, used + bins,
-                                 wasted + bins * free, (pattern, bins, trail)))
-        stack += reversed(branches)  # the fullest is tried first
-    return best, fewest == least
+    lift, proven, trials = 0, fewest == least, 0
+    while not proven:
+        # A branch: remaining histogram, bins and waste so far, chain of decisions.
+        stack = [(counts, 0, 0, None)]
+        reached: dict[bytes, int] = {}  # digest of a remaining histogram -> fewest bins before it
+        cut, nodes = False, 0
+        while stack and fewest > least and nodes < max_nodes and trials < max_nodes * STEPS:
+            left, used, wasted, trail = stack.pop()
+            nodes += 1
+            if not left:
+                if used < fewest:
+                    fewest, best = used, Counter()
+                    while trail:
+                        pattern, n, trail = trail
+                        best[pattern] += n
+                continue
+            allowed = (fewest - 1) * capacity - volume - wasted  # waste that still beats the incumbent
+            if allowed < 0:
+                continue
+            state = xxhash.xxh3_128_digest(np.array(sorted(left.items()), np.int64).tobytes())
+            if reached.get(state, used + 1) <= used:
+                continue
+            reached[state] = used
+            top = max(left)
+            rest = dict(left)
+            rest[top] -= 1
+            branches = []
+            room = capacity - top
+            most, steps = width * 4**lift, STEPS * 4**lift
+            choices, whole, tried = fillings(rest, room, 0, most, steps)
+            trials += tried if lift else 0
+            # Exact fillings first: waste is kept for the last bins, which need it.
+            if allowed and room and (lift or not choices):
+                known = set(choices)
+                more, whole, tried = fillings(rest, room, min(allowed, room), most, steps)
+                trials += tried if lift else 0
+                choices += [p for p in more if p not in known]
+            elif allowed and room:
+                whole = False
+            cut |= not whole
+            for filling in choices:
+                free = room - sum(s * n for s, n in filling)
+                pattern = tuple(sorted((Counter(dict(filling)) + Counter({top: 1})).items(), reverse=True))
+                bins = min(left[s] // n for s, n in pattern)
+                if free:
+                    bins = min(bins, allowed // free)
+                cut |= not lift and bins > 1
+                for n in (bins, 1) if lift and bins > 1 else (bins,) if bins else ():
+                    after = dict(left)
+                    for size, each in pattern:
+                        after[size] -= n * each
+                        if not after[size]:
+                            del after[size]
+                    branches.append((after, used + n, wasted + n * free, (pattern, n, trail)))
+            stack += reversed(branches)  # the fullest is tried first
+        proven = fewest == least or not (stack or cut)
+        if stack and lift or trials >= max_nodes * STEPS or not max_nodes:
+            break
+        lift += 1
+    return best, proven
 
 
 # -- placement -----------------------------------------------------------------

@@ -45,6 +45,23 @@ def test_bin_completion_against_all_subsets():
         assert sum(patterns.values()) <= fewest(items, cap) + 1
 
 
+def test_small_instances_are_solved_and_proven():
+    rng = random.Random(11)
+    instances = [(30, [7, 8, 12, 14, 9, 15, 10, 13])]  # one bin too many without wasting or wider fillings
+    for _ in range(100):
+        cap = rng.choice([10, 30, 100])
+        instances.append((cap, [rng.randint(cap // 5 + 1, cap // 2) for _ in range(rng.randint(5, 9))]))
+    for cap, items in instances:
+        patterns, proven = P.complete_bins(dict(Counter(items)), cap)
+        assert proven and sum(patterns.values()) == fewest(items, cap)
+
+
+def test_completion_ends_where_no_filling_fits_well():
+    counts = {s: 40 for s in range(200, 340, 7)}
+    patterns, _ = P.complete_bins(counts, 1024, max_nodes=50)
+    assert sum(s * n * b for p, b in patterns.items() for s, n in p) == sum(s * n for s, n in counts.items())
+
+
 def test_completion_beats_best_fit():
     counts = {6: 2, 4: 1, 3: 2, 2: 1, 8: 1}  # 32 in bins of 10
     assert sum(P.complete_bins(counts, 10)[0].values()) == 4
