@@ -1,12 +1,17 @@
 """Quality rules: rule statistics of whole texts and an isolation forest on them.
 
 The base rules count words, symbols, repeated lines and repeated three-word
-windows.  Of each further statistic the excess over what good rows usually show
-(``USUAL`` of the labelled ones lie under it) goes into an isolation forest of
-random splits grown on labelled rows: a usual text has no excess and shares its
-leaf with most others, a text that breaks a rule is soon alone, and its average
-path is short.  The path-score threshold is calibrated on labelled rows of both
-classes, a lost good row weighing ten rejections missed.
+windows.  Of each further statistic the distance from what good rows usually show
+goes into an isolation forest of random splits grown on labelled rows: a usual
+text has none and shares its leaf with most others, a text that breaks a rule is
+soon alone, and its average path is short.  ``USUAL`` of the labelled good rows
+lie under the upper limit; the lower one is as far again below the median as
+the value that ``USUAL`` of them lie over.  Two things are not seen: unusual
+combinations inside the limits, and distances in a statistic in which no sampled
+row has one.  The path-score threshold is
+calibrated on labelled rows of both classes, a lost good row weighing ten
+rejections missed; where the base rules already fail all bad ones, ``USUAL`` of
+the good rows score under it.
 
 The forest and the threshold come from a bounded sample (``SAMPLE_ROWS`` rows
 of each class, lowest hash of the id first, held-out fold excluded); every text
@@ -14,8 +19,9 @@ is measured whole and scored.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null id is kept and never learnt from; repeated rows are judged alike; without
-labelled rows of both classes only the base rules decide; an empty table gives
-no rows; other columns are left out.
+labelled rows of both classes, or with fewer than two good ones that pass the
+base rules, only these decide; an empty table gives no rows; other columns are
+left out.
 """
 
 from __future__ import annotations
@@ -86,6 +92,11 @@ def mean_path(n: float) -> float:
     return 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else float(n == 2)
 
 
+def outside(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How far each feature is over or under the limits; 0 within them."""
+    return np.maximum(points - high, 0) + np.maximum(low - points, 0)
+
+
 @dataclass
 class Forest:
     """Trees as arrays (tree, node): split feature (-1: leaf), split value, path length at a leaf."""
@@ -95,13 +106,15 @@ class Forest:
     path: np.ndarray
     norm: float
     usual: np.ndarray  # of each feature, what good rows stay under
+    low: np.ndarray    # and over
     threshold: float = 1.0
 
     @classmethod
     def grow(cls, points: np.ndarray, usual: np.ndarray, trees: int = 128, sample: int = 256, depth: int = 10,
-             seed: int = 11) -> Forest:
+             seed: int = 11, low: np.ndarray | None = None) -> Forest:
         rng = np.random.default_rng(seed)
-        points = np.maximum(points - usual, 0)
+        low_limit = np.full(points.shape[1], -np.inf) if low is None else low
+        points = outside(points, low_limit, usual)
         nodes = 2 ** (depth + 1)
         feature = np.full((trees, nodes), -1, np.int16)
         value, path = np.zeros((trees, nodes)), np.zeros((trees, nodes))
@@ -119,11 +132,11 @@ class Forest:
                     feature[t, node], value[t, node] = f, cut
                     left = own[:, f] <= cut
                     stack += [(2 * node, level + 1, own[left]), (2 * node + 1, level + 1, own[~left])]
-        return cls(feature, value, path, mean_path(size), usual)
+        return cls(feature, value, path, mean_path(size), usual, low_limit)
 
     def scores(self, points: np.ndarray) -> np.ndarray:
         """Anomaly of each point in (0, 1): 2 ** (-mean path / norm)."""
-        points = np.maximum(points - self.usual, 0)
+        points = outside(points, self.low, self.usual)
         trees = np.arange(len(self.feature))
         node = np.ones((len(points), len(trees)), np.int32)
         row = np.arange(len(points))[:, None]
@@ -138,8 +151,12 @@ class Forest:
 
     def calibrate(self, points: np.ndarray, good: np.ndarray, good_cost: float = 10.0) -> None:
         """The threshold with the least cost on labelled rows, a lost good row
-        counting ``good_cost`` lost rejections (per share of its class)."""
+        counting ``good_cost`` lost rejections (per share of its class); without
+        bad rows, what ``USUAL`` of the good ones score under."""
         s = self.scores(points)
+        if good.all():
+            self.threshold = float(np.quantile(s, USUAL))
+            return
         cuts = np.unique(s)
         cuts = np.r_[cuts[0] - 1e-9, (cuts[1:] + cuts[:-1]) / 2, cuts[-1] + 1e-9]
         g, b = np.sort(s[good]), np.sort(s[~good])
@@ -161,7 +178,8 @@ def _measured(texts) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality") -> Forest | None:
-    """Forest and threshold from labelled rows; None without both classes.
+    """Forest and threshold from labelled rows; None without both classes or
+    without two good rows that pass the base rules.
 
     With contrary labels for an id the lower counts."""
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -179,11 +197,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     stats = np.array([r["stats"] for r in rows], float).reshape(-1, 10)
     good = np.array([r["label"] == 1 for r in rows], bool)
     judged = ~base_failed(stats)  # the forest only judges what the base rules pass
-    stats, good = stats[judged], good[judged]
-    if good.sum() < 2 or good.all():
+    if good.all() or good[judged].sum() < 2:
         return None
+    stats, good = stats[judged], good[judged]
     points = features(stats)
-    forest = Forest.grow(points, np.quantile(points[good], USUAL, axis=0))
+    low, mid, high = np.quantile(points[good], (1 - USUAL, 0.5, USUAL), axis=0)
+    forest = Forest.grow(points, high, low=2 * low - mid)
     forest.calibrate(points, good)
     return forest
 

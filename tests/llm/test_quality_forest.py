@@ -49,6 +49,20 @@ def test_clean_texts_are_kept_and_junk_goes(spark):
     assert all(out[i]["base_failed"] for i in range(3000, 3010))
 
 
+def test_anomalies_on_the_low_side_go(spark):
+    docs, labels, rows = labelled(spark)
+    odd = spark.createDataFrame([(9000, " ".join(chr(0x100 + i) for i in range(200)))], docs.schema)
+    out = {r["doc_id"]: r["kept"] for r in Q.judge(docs.unionByName(odd), labels).collect()}
+    assert not out[9000] and np.mean([out[i] for i, _, q in rows if q]) >= 0.98
+
+
+def test_bad_rows_that_all_fail_the_base_rules(spark):
+    docs, labels, rows = labelled(spark)
+    out = {r["doc_id"]: r["kept"] for r in Q.judge(docs, labels.where("quality = 1 or doc_id >= 3000")).collect()}
+    assert np.mean([out[i] for i, _, q in rows if q]) >= 0.98
+    assert np.mean([out[i] for i, _, q in rows if not q]) <= 0.5
+
+
 def test_sample_data_held_out(spark):
     big = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
