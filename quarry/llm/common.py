@@ -52,7 +52,11 @@ def text_or_empty(column: str = "text"):
 SMALL_ROWS = 100_000
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, entries: str | None = None) -> DataFrame:
     """Mark a written table for broadcast if it has few rows; else leave the
-    join strategy to Spark."""
+    join strategy to Spark.
+
+    With an array column ``entries``, its entries must be few in all as well."""
+    if entries and (df.agg(F.sum(F.size(entries))).first()[0] or 0) > SMALL_ROWS:
+        return df
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df

@@ -138,7 +138,7 @@ def redacted(docs: DataFrame, marker: str = "[secret]", ledger_path: str | None
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
                        F.col(text_col).alias("text"),
                        F.sha2(text_or_empty(text_col).cast("binary"), 256).alias("blob"))
-    rows = rows.join(small(found), "blob", "left")
+    rows = rows.join(small(found, "spans"), "blob", "left")
     clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(f"""
         aggregate(spans, named_struct('at', 0L, 'out', ''),
             (acc, s) -> if(s.end <= acc.at, acc, named_struct('at', s.end, 'out', concat(acc.out,

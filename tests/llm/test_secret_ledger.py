@@ -1,5 +1,6 @@
 import re
 
+from quarry.llm import common
 from quarry.llm import secret_ledger as S
 from quarry.llm.common import scratch
 
@@ -71,3 +72,19 @@ def test_redacted(tricky, nothing):
         else:
             assert r["text"] == old
     assert S.redacted(nothing).count() == 0
+
+
+def test_few_blobs_with_many_spans_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "SMALL_ROWS", 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for spans, broadcast in ((1, True), (3, False)):
+            df = spark.createDataFrame([(i, f"{i} " + " ".join(["0a" * 14] * spans)) for i in range(2)],
+                                       "doc_id long, text string")
+            out = S.redacted(df)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == broadcast
+            assert sorted(r["text"] for r in out.collect()) == [f"{i} " + " ".join(["[secret]"] * spans) for i in range(2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
