@@ -7,7 +7,9 @@ linear softmax over two classes gives the score.
 
 Embeddings and softmax are trained jointly in numpy with Adam on a bounded
 sample of labelled rows (``SAMPLE_ROWS`` per class, lowest hash of the id
-first).  Scoring needs one number per n-gram row, so the model that goes to
+first).  Tasks turn the sampled texts into counts of n-gram rows, which the
+driver reads one partition at a time and of which it keeps the rows that learn:
+no text goes to the driver.  Scoring needs one number per n-gram row, so the model that goes to
 the tasks is ``2**BUCKET_BITS`` floats, whatever the corpus.
 
 Labels are learnt only from rows outside the held-out fold; label, language,
@@ -22,7 +24,8 @@ every score is 0; an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from zlib import crc32 as _crc
 
 import numpy as np
@@ -30,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import forget, written
+
 SAMPLE_ROWS = 2000   # labelled rows of each class that a model may learn from
 BUCKET_BITS = 17
 _EDGES = ".,;:!?\"'()[]{}<>*_-"
@@ -74,33 +79,78 @@ class _Sum:
         return out
 
 
+def bags(texts: Iterable[str | None], cache_words: int = 100_000) -> Iterator[tuple]:
+    """(words, rows, times, weights) of each text: how many words it has, the
+    embedding rows of their n-grams, how many words hold each, and the sum over
+    these words of one in so many n-grams as the word has."""
+    size, cache = 1 << BUCKET_BITS, {}
+    for text in texts:
+        count = Counter(tokens(text))
+        if len(cache) > cache_words:
+            cache.clear()
+        times, weights = np.zeros(size), np.zeros(size)
+        grams, held, part = [], [], 0
+
+        def add():
+            at, per = np.concatenate(grams), [len(g) for g in grams]
+            times[:] += np.bincount(at, np.repeat(held, per), size)
+            weights[:] += np.bincount(at, np.repeat(np.divide(held, per), per), size)
+
+        for word, n in count.items():
+            own = cache.get(word)
+            if own is None:
+                own = np.fromiter(gram_rows(word), np.int32)
+                if len(cache) <= cache_words:
+                    cache[word] = own
+            grams.append(own)
+            held.append(n)
+            part += len(own)
+            if part > 1_000_000:
+                add()
+                grams, held, part = [], [], 0
+        if grams:
+            add()
+        rows = np.flatnonzero(times)
+        yield count.total(), rows.astype(np.int32), times[rows].astype(np.int64), weights[rows]
+
+
 class _Batch:
-    """Some texts as ragged arrays, and the loss's gradients over them."""
+    """Some texts as bags of n-gram rows, and the loss's gradients over them."""
 
     def __init__(self, ids: list[np.ndarray], rows: list[np.ndarray], y):
-        words = np.concatenate(ids)
-        _, self.word_at = np.unique(words, return_inverse=True)
-        length = np.array([len(w) for w in ids])
-        self.starts = np.r_[0, np.cumsum(length)[:-1]]
-        self.length, self.scale = length, (GAIN / (length + PAD)).astype(np.float32)[:, None]
+        """From the words of each text, and of each distinct word, in order, how
+        many n-grams it has and which of their rows learn."""
+        number, own = np.unique(np.concatenate(ids)), []
+        for words in ids:
+            at = np.searchsorted(number, words)
+            gram = np.concatenate([rows[w][1:] for w in at])
+            own.append((gram, np.repeat([1 / rows[w][0] for w in at], [len(rows[w]) - 1 for w in at])))
+        self._set([len(w) for w in ids], own, y)
+
+    @classmethod
+    def of_bags(cls, length: list[int], own: list[tuple[np.ndarray, np.ndarray]], y) -> _Batch:
+        """From the number of words and the (rows, weights) of each text."""
+        batch = cls.__new__(cls)
+        batch._set(length, own, y)
+        return batch
+
+    def _set(self, length, own, y):
+        self.scale = (GAIN / (np.array(length) + PAD)).astype(np.float32)[:, None]
         self.y = y
-        self.share = np.array([1 / r[0] for r in rows], np.float32)[:, None]
-        self.rows, self.gram = np.unique(np.concatenate([r[1:] for r in rows]), return_inverse=True)
-        self.word = np.repeat(np.arange(len(rows)), [len(r) - 1 for r in rows])
-        self.by_gram, self.by_word = _Sum(self.gram, len(self.rows)), _Sum(self.word, len(rows))
-        self.to_word = _Sum(self.word_at, len(rows))
+        self.rows, self.gram = np.unique(np.concatenate([r for r, _ in own]), return_inverse=True)
+        self.weight = np.concatenate([w for _, w in own]).astype(np.float32)[:, None]
+        self.text = np.repeat(np.arange(len(own)), [len(r) for r, _ in own])
+        self.by_gram, self.by_text = _Sum(self.gram, len(self.rows)), _Sum(self.text, len(own))
 
     def gradients(self, emb, soft, bias):
-        word_vec = self.by_word(emb[self.rows][self.gram]) * self.share
-        text_vec = np.add.reduceat(word_vec[self.word_at], self.starts, axis=0) * self.scale
+        text_vec = self.by_text(emb[self.rows][self.gram] * self.weight) * self.scale
         logit = text_vec @ soft + bias
         p = 1 / (1 + np.exp(np.clip(logit[:, 0] - logit[:, 1], -30, 30)))
         grad = (p - self.y) / len(self.y)
         d_logit = np.stack([-grad, grad], 1).astype(np.float32)
         d_text = d_logit @ soft.T * self.scale
-        d_word = self.to_word(np.repeat(d_text, self.length, axis=0)) * self.share
         d_emb = np.zeros_like(emb)
-        d_emb[self.rows] = self.by_gram(d_word[self.word])
+        d_emb[self.rows] = self.by_gram(d_text[self.text] * self.weight)
         return d_emb, text_vec.T @ d_logit, d_logit.sum(0)
 
 
@@ -115,7 +165,12 @@ class SubwordModel:
         self.bias = -30.0
 
     def fit(self, texts: list[str | None], labels: list[int]) -> SubwordModel:
-        """Learn from whole texts.
+        """Learn from whole texts."""
+        own = list(bags(texts))
+        return self.fit_bags(lambda: own, labels)
+
+    def fit_bags(self, read: Callable[[], Iterable[tuple]], labels: list[int]) -> SubwordModel:
+        """Learn from what ``bags`` gives for whole texts, read twice.
 
         Only n-gram rows that at least ``least_texts`` of them hold and whose
         share of a toxic text's n-grams is e**``least_ratio`` times that of a
@@ -126,18 +181,12 @@ class SubwordModel:
         if not 0 < y.sum() < len(y):
             return self
         rng = np.random.default_rng(self.seed)
-        vocab: dict[str, int] = {}
-        ids = [np.array([vocab.setdefault(w, len(vocab)) for w in tokens(t)], np.int32) for t in texts]
-        rows = [np.fromiter(gram_rows(w), np.int32) for w in vocab]
         size = 1 << BUCKET_BITS
         share, held_by = np.zeros((2, size)), np.zeros(size, np.int32)
-        for words, label in zip(ids, y.astype(int), strict=True):
-            if len(words):
-                own, times = np.unique(words, return_counts=True)
-                per = [len(rows[w]) for w in own]
-                each = np.bincount(np.concatenate([rows[w] for w in own]), np.repeat(times, per), size)
-                share[label] += each / len(words)
-                held_by += each > 0
+        for (words, rows, times, _), label in zip(read(), y.astype(int), strict=True):
+            if words:
+                share[label, rows] += times / words
+                held_by[rows] += 1
         toxic, smooth = y.sum(), 0.005 / y.sum()
         ratio = np.log((share[1] / toxic + smooth) / (share[0] / (len(y) - toxic) + smooth)) - self.least_ratio
         live = (ratio > 0) & (held_by >= self.least_texts)
@@ -147,13 +196,16 @@ class SubwordModel:
         soft = rng.normal(0, 0.01, (self.dim, 2)).astype(np.float32)
         soft[0] = -0.5, 0.5
         bias = np.array([1.0, -1.0], np.float32)
-        rows = [np.r_[len(r), r[live[r]]] for r in rows]  # how many there are, then those that learn
-        order = rng.permutation(np.flatnonzero([len(w) > 0 for w in ids]))
+        length, own = [], []
+        for words, rows, _, weights in read():
+            learn = live[rows]
+            length.append(words)
+            own.append((rows[learn], weights[learn]))
+        order = rng.permutation(np.flatnonzero(length))
         batches = []
         for part in np.array_split(order, max(1, round(len(order) / self.batch_texts))):
-            own = [ids[d] for d in part]
-            if own:
-                batches.append(_Batch(own, [rows[w] for w in np.unique(np.concatenate(own))], y[part]))
+            if len(part):
+                batches.append(_Batch.of_bags([length[d] for d in part], [own[d] for d in part], y[part]))
         state = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (emb, soft, bias)]
         for step in range(1, self.steps + 1 if batches else 1):
             gradients = batches[step % len(batches)].gradients(emb, soft, bias)
@@ -212,8 +264,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(sample), "id")  # at most twice rows_per_class rows
              .groupBy("id", "label", "turn").agg(F.max("text").alias("text")))
-    rows = sorted(texts.collect(), key=lambda r: (r["turn"], str(r["id"])))
-    model = SubwordModel().fit([r["text"] for r in rows], [r["label"] for r in rows])
+    # Written, as it is read twice: counts of n-gram rows, 2 ** BUCKET_BITS a text at most.
+    counted = written(texts.mapInPandas(_bags_of, f"turn long, id {docs.schema[id_col].dataType.simpleString()}, "
+                                        "label int, words long, rows binary, times binary, weights binary"), "toxicity-bags")
+    counted_in_order = counted.orderBy("turn", F.col("id").cast("string"))
+    rows = counted_in_order.select("label").collect()
+
+    def read() -> Iterator[tuple]:
+        for r in counted_in_order.select("words", "rows", "times", "weights").toLocalIterator():
+            yield (r["words"], np.frombuffer(r["rows"], np.int32), np.frombuffer(r["times"], np.int64),
+                   np.frombuffer(r["weights"]))
+
+    model = SubwordModel().fit_bags(read, [r["label"] for r in rows])
+    forget(counted)
     # The sample is even-handed where the labels are not: the bias goes back to their odds.
     n = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     taken = [sum(r["label"] == label for r in rows) for label in (0, 1)]
@@ -222,6 +285,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     return model
 
 
+def _bags_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """turn, id, label and the bag of each text, some MB at a time."""
+    columns = ["turn", "id", "label", "words", "rows", "times", "weights"]
+    for batch in batches:
+        out, held = [], 0
+        for (turn, key, label), bag in zip(batch[columns[:3]].itertuples(index=False), bags(batch["text"]), strict=True):
+            out.append((turn, key, label, bag[0], *(x.tobytes() for x in bag[1:])))
+            held += 20 * len(bag[1])
+            if held > 8_000_000:
+                yield pd.DataFrame(out, columns=columns)
+                out, held = [], 0
+        yield pd.DataFrame(out, columns=columns)
+
+
 def score_column(model: SubwordModel, text_col: str = "text"):
     """The score of a text column, in [0, 1]."""
 

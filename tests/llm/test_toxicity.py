@@ -104,3 +104,28 @@ def test_tricky(spark, tricky, nothing):
     assert T.score_documents(nothing, labels).collect() == []
     none = T.score_documents(tricky, labels.limit(0)).collect()
     assert all(r["predicted"] == 0 for r in none)
+
+
+def test_bags_against_plain_counts():
+    for text in (prose(1, 300) + " " + prose(1, 40), "", None, "a a é日本 <b> ..."):
+        (words, rows, times, weights), = T.bags([text])
+        want, share = {}, {}
+        for w in T.tokens(text):
+            for g in T.gram_rows(w):
+                want[g] = want.get(g, 0) + 1
+                share[g] = share.get(g, 0) + 1 / len(T.gram_rows(w))
+        assert words == len(T.tokens(text)) and dict(zip(rows.tolist(), times.tolist())) == want
+        assert dict(zip(rows.tolist(), weights.tolist())) == pytest.approx(share)
+
+
+def test_no_text_goes_to_the_driver(spark, monkeypatch):
+    rows, taken = corpus(), []
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    for name in ("collect", "toLocalIterator"):
+        def seen(self, *a, plain=getattr(type(docs), name), **b):
+            taken.extend(self.dtypes)
+            return plain(self, *a, **b)
+        monkeypatch.setattr(type(docs), name, seen)
+    assert T.fit(docs, labels).gram_scores.any()
+    assert taken and "string" not in {kind for _, kind in taken}
