@@ -200,9 +200,53 @@ def fillings(counts: dict[int, int], room: int, waste: int, limit: int,
     return [p for _, p in sorted(found, key=lambda x: x[0])], whole, trials
 
 
+KEPT = 20_000  # choices of open branches held at a time; others are found again on the way back
+
+
+class _Branch:
+    """An open branch: what beats the incumbent allows to waste, its choices
+    (pattern, bins, waste a bin) unless dropped, and how many were tried."""
+
+    __slots__ = ("allowed", "choices", "total", "tried", "taken")
+
+    def __init__(self, allowed: int, choices: list[tuple[Pattern, int, int]]):
+        self.allowed, self.choices, self.total, self.tried, self.taken = allowed, choices, len(choices), 0, None
+
+
+def _choices(left: dict[int, int], capacity: int, allowed: int, width: int, lift: int) -> tuple[list, bool, int]:
+    """(what may be done with the largest remaining length, is that all?, trials)."""
+    top = max(left)
+    rest = dict(left)
+    rest[top] -= 1
+    room, most, steps = capacity - top, width * 4**lift, STEPS * 4**lift
+    found, whole, trials = fillings(rest, room, 0, most, steps)
+    # Exact fillings first: waste is kept for the last bins, which need it.
+    if allowed and room and (lift or not found):
+        known = set(found)
+        more, whole, tried = fillings(rest, room, min(allowed, room), most, steps)
+        trials += tried
+        found += [p for p in more if p not in known]
+    elif allowed and room:
+        whole = False
+    out = []
+    for filling in found:
+        free = room - sum(s * n for s, n in filling)
+        pattern = tuple(sorted((Counter(dict(filling)) + Counter({top: 1})).items(), reverse=True))
+        bins = min(left[s] // n for s, n in pattern)
+        if free:
+            bins = min(bins, allowed // free)
+        whole &= bool(lift) or bins <= 1
+        out += [(pattern, n, free) for n in ((bins, 1) if lift and bins > 1 else (bins,) if bins else ())]
+    return out, whole, trials
+
+
 def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 3000,
                   width: int = 12) -> tuple[Counter[Pattern], bool]:
-    """(patterns with their numbers of bins, proven least?) for a histogram."""
+    """(patterns with their numbers of bins, proven least?) for a histogram.
+
+    Depth first on one histogram that decisions change and the way back
+    restores: memory is that of one path of decisions and at most ``KEPT``
+    choices above its last branch."""
     counts = {s: n for s, n in counts.items() if n}
     volume = sum(s * n for s, n in counts.items())
     least = max(-(-volume // capacity), sum(n for s, n in counts.items() if 2 * s > capacity))
@@ -210,61 +254,63 @@ def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 3000,
     fewest = sum(best.values())
     lift, proven, trials = 0, fewest == least, 0
     while not proven:
-        # A branch: remaining histogram, bins and waste so far, chain of decisions.
-        stack = [(counts, 0, 0, None)]
+        left, used, wasted = dict(counts), 0, 0
+        path: list[_Branch] = []
         reached: dict[bytes, int] = {}  # digest of a remaining histogram -> fewest bins before it
-        cut, nodes = False, 0
-        while stack and fewest > least and nodes < max_nodes and trials < max_nodes * STEPS:
-            left, used, wasted, trail = stack.pop()
+        cut, nodes, kept, dropped, open_ = False, 0, 0, 0, True
+
+        def apply(choice: tuple[Pattern, int, int], sign: int) -> None:
+            nonlocal used, wasted
+            pattern, n, free = choice
+            for size, each in pattern:
+                now = left.get(size, 0) - sign * n * each
+                if now:
+                    left[size] = now
+                else:
+                    del left[size]
+            used, wasted = used + sign * n, wasted + sign * n * free
+
+        while open_ and fewest > least and nodes < max_nodes and trials < max_nodes * STEPS:
             nodes += 1
+            allowed = (fewest - 1) * capacity - volume - wasted  # waste that still beats the incumbent
+            choices: list = []
             if not left:
                 if used < fewest:
                     fewest, best = used, Counter()
-                    while trail:
-                        pattern, n, trail = trail
-                        best[pattern] += n
-                continue
-            allowed = (fewest - 1) * capacity - volume - wasted  # waste that still beats the incumbent
-            if allowed < 0:
-                continue
-            state = xxhash.xxh3_128_digest(np.array(sorted(left.items()), np.int64).tobytes())
-            if reached.get(state, used + 1) <= used:
-                continue
-            reached[state] = used
-            top = max(left)
-            rest = dict(left)
-            rest[top] -= 1
-            branches = []
-            room = capacity - top
-            most, steps = width * 4**lift, STEPS * 4**lift
-            choices, whole, tried = fillings(rest, room, 0, most, steps)
-            trials += tried if lift else 0
-            # Exact fillings first: waste is kept for the last bins, which need it.
-            if allowed and room and (lift or not choices):
-                known = set(choices)
-                more, whole, tried = fillings(rest, room, min(allowed, room), most, steps)
-                trials += tried if lift else 0
-                choices += [p for p in more if p not in known]
-            elif allowed and room:
-                whole = False
-            cut |= not whole
-            for filling in choices:
-                free = room - sum(s * n for s, n in filling)
-                pattern = tuple(sorted((Counter(dict(filling)) + Counter({top: 1})).items(), reverse=True))
-                bins = min(left[s] // n for s, n in pattern)
-                if free:
-                    bins = min(bins, allowed // free)
-                cut |= not lift and bins > 1
-                for n in (bins, 1) if lift and bins > 1 else (bins,) if bins else ():
-                    after = dict(left)
-                    for size, each in pattern:
-                        after[size] -= n * each
-                        if not after[size]:
-                            del after[size]
-                    branches.append((after, used + n, wasted + n * free, (pattern, n, trail)))
-            stack += reversed(branches)  # the fullest is tried first
-        proven = fewest == least or not (stack or cut)
-        if stack and lift or trials >= max_nodes * STEPS or not max_nodes:
+                    for branch in path:
+                        best[branch.taken[0]] += branch.taken[1]
+            elif allowed >= 0:
+                state = xxhash.xxh3_128_digest(np.array(sorted(left.items()), np.int64).tobytes())
+                if reached.get(state, used + 1) > used:
+                    reached[state] = used
+                    choices, whole, tried = _choices(left, capacity, allowed, width, lift)
+                    trials += tried if lift else 0
+                    cut |= not whole
+            path.append(_Branch(allowed, choices))
+            kept += len(choices)
+            while kept > KEPT and dropped < len(path) - 1:  # the longest open are needed last
+                kept -= len(path[dropped].choices)
+                path[dropped].choices = None
+                dropped += 1
+            while path and path[-1].tried == path[-1].total:
+                done = path.pop()
+                kept -= len(done.choices or ())
+                dropped = min(dropped, len(path))
+                if path:
+                    apply(path[-1].taken, -1)
+            open_ = bool(path)
+            if open_:
+                here = path[-1]
+                if here.choices is None:
+                    here.choices, _, tried = _choices(left, capacity, here.allowed, width, lift)
+                    trials += tried if lift else 0
+                    kept += here.total
+                    dropped = len(path) - 1
+                here.taken = here.choices[here.tried]  # the fullest is tried first
+                here.tried += 1
+                apply(here.taken, 1)
+        proven = fewest == least or not (open_ or cut)
+        if open_ and lift or trials >= max_nodes * STEPS or not max_nodes:
             break
         lift += 1
     return best, proven
