@@ -191,8 +191,10 @@ class SubwordModel:
         ratio = np.log((share[1] / toxic + smooth) / (share[0] / (len(y) - toxic) + smooth)) - self.least_ratio
         live = (ratio > 0) & (held_by >= self.least_texts)
 
-        emb = np.where(live[:, None], rng.normal(0, 0.01, (size, self.dim)), 0).astype(np.float32)
-        emb[live, 0] = ratio[live]
+        # Tables of the rows that learn alone.
+        emb = rng.normal(0, 0.01, (size, self.dim))[live].astype(np.float32)
+        emb[:, 0] = ratio[live]
+        at = np.cumsum(live) - 1
         soft = rng.normal(0, 0.01, (self.dim, 2)).astype(np.float32)
         soft[0] = -0.5, 0.5
         bias = np.array([1.0, -1.0], np.float32)
@@ -200,7 +202,8 @@ class SubwordModel:
         for words, rows, _, weights in read():
             learn = live[rows]
             length.append(words)
-            own.append((rows[learn], weights[learn]))
+            own.append((at[rows[learn]], weights[learn]))
+        del share, held_by, ratio
         order = rng.permutation(np.flatnonzero(length))
         batches = []
         for part in np.array_split(order, max(1, round(len(order) / self.batch_texts))):
@@ -213,7 +216,7 @@ class SubwordModel:
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 param -= self.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-        self.gram_scores = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
+        self.gram_scores[live] = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
         self.bias = float(bias[1] - bias[0])
         return self
 
