@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, hyperminhash, metric_join, mixing, packing, quality_forest, secret_ledger, sharding, toxicity, warc
+from quarry.llm import (byte_bpe, fill_middle, hyperminhash, metric_join, mixing, packing, quality_forest,
+                        secret_ledger, sharding, toxicity, warc)
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +106,15 @@ def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined.cast("binary"), 256).alias("base_sha256"), joined.alias("spans"))
 
 
+@query
+def op13_boundary_set_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two token boundaries and rearranged, with what is restored from that."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=1, fim_share=90, spm_share=20)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.encode("output", "utf-8"), 256).alias("output_sha256"),
+                       F.sha2(F.encode(fill_middle.restored(), "utf-8"), 256).alias("restored_sha256"))
+
+
 # -- DuckDB SQL ------------------------------------------------------------
 
 # A CRC-32 by its definition: the table from the bit rule, then byte by byte.
@@ -232,3 +242,20 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_
   d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+ORACLE["op13_boundary_set_fim"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS t,
+  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, len(t)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(t) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(t) + 1) AS y,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+    WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT doc_id, text, n, form, array_to_string(t[1:least(x, y)], '') AS p,
+  array_to_string(t[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(t[greatest(x, y) + 1:], '') AS s FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
