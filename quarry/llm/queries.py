@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (byte_bpe, fill_middle, hyperminhash, metric_join, mixing, packing, quality_forest,
-                        secret_ledger, sharding, toxicity, warc)
+                        resampling, secret_ledger, sharding, toxicity, warc)
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,14 @@ def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined.cast("binary"), 256).alias("base_sha256"), joined.alias("spans"))
 
 
+@query
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 % of all documents of 20 words or more, drawn by likeness to the benchmark's texts."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                percent=5, least_words=20, seed=42, buckets=10_000)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def op13_boundary_set_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two token boundaries and rearranged, with what is restored from that."""
@@ -243,6 +251,38 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
+# The checksum of every distinct feature, by CRC-32's definition, byte by byte.
+ORACLE["op12_importance_resample"] = r"""
+WITH bits AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+texts AS (SELECT 0 AS side, row_number() OVER () AS row_id, doc_id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM benchmark),
+words AS (SELECT side, row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (SELECT side, row_id, unnest(list_concat(w, list_transform(range(len(w) - 1), lambda i: w[i + 1] || ' ' || w[i + 2]),
+  list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]))) AS f FROM words),
+features AS (SELECT side, row_id, f, count(*) AS n FROM runs GROUP BY ALL),
+sums AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(f)),
+    lambda i: ('0x' || hex(encode(f))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+  lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM features), bits),
+held AS (SELECT side, row_id, bucket, sum(n) AS n FROM features JOIN sums USING (f) GROUP BY ALL),
+counts AS (SELECT b.bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t
+  FROM range(10000) b(bucket) LEFT JOIN held USING (bucket) GROUP BY b.bucket),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+  / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS g FROM counts),
+weights AS (SELECT row_id, sum(n * g) AS weight, sum(n) AS n_features FROM held JOIN gain USING (bucket)
+  WHERE side = 0 GROUP BY row_id),
+scored AS (SELECT row_id, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+  coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+    (('0x' || sha256('42:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (row_id) WHERE side = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS r,
+  5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS k FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= k THEN r END::BIGINT AS rank FROM ranked
+"""
+
 ORACLE["op13_boundary_set_fim"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS t,
   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
