@@ -31,9 +31,10 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,6 +101,12 @@ class TokenIds:
         return self.fast(text)
 
 
+@lru_cache(maxsize=1)
+def token_ids(path: str) -> TokenIds:
+    """One a worker process: a worker runs many tasks."""
+    return TokenIds(path)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids (binary, little-endian uint32).
@@ -107,29 +114,34 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id:
     Documents longer than ``capacity`` are cut so that only the first piece
     may be shorter."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
-        encode = TokenIds(vocabulary)
+        encode = token_ids(vocabulary)
         for batch in batches:
-            rows: list[tuple] = []
+            doc_ids, texts = batch.column(0), batch.column(1)
+            rows: list[tuple] = []  # row of the batch, piece, start, length, ids
             size = 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text if isinstance(text, str) else "")
+            for row in range(batch.num_rows):  # one text at a time is a Python string
+                ids = encode(texts[row].as_py() or "")
                 ids.append(end_id)
                 coded = np.array(ids, "<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
-                rows += [(doc_id, i, a, b - a, coded[a:b].tobytes())
-                         for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+                rows += [(row, i, a, b - a, coded[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
                 size += coded.nbytes
                 if size > 8_000_000:
-                    yield pd.DataFrame(rows, columns=columns)
+                    yield pieces_of(doc_ids, rows)
                     rows, size = [], 0
-            yield pd.DataFrame(rows, columns=columns)
+            yield pieces_of(doc_ids, rows)
+
+    def pieces_of(doc_ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        row, piece, start, length, ids = zip(*rows) if rows else ((),) * 5
+        return pa.RecordBatch.from_arrays(
+            [doc_ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+             pa.array(length, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
 
-    columns = ["doc_id", "piece", "start", "length", "ids"]
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"doc_id {id_type}, piece int, start long, length long, ids binary")
 
 
