@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (byte_bpe, fill_middle, hyperminhash, metric_join, mixing, packing, quality_forest,
-                        resampling, secret_ledger, sharding, toxicity, warc)
+from quarry.llm import (byte_bpe, fill_middle, hyperminhash, metric_join, mixing, mtree, packing,
+                        quality_forest, resampling, secret_ledger, sharding, toxicity, warc)
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,12 @@ def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined.cast("binary"), 256).alias("base_sha256"), joined.alias("spans"))
 
 
+@query
+def op11_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector with all others."""
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10, scale=1024)
+
+
 @query
 def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5 % of all documents of 20 words or more, drawn by likeness to the benchmark's texts."""
@@ -251,6 +257,17 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
+ORACLE["op11_mtree_top_k"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 # The checksum of every distinct feature, by CRC-32's definition, byte by byte.
 ORACLE["op12_importance_resample"] = r"""
 WITH bits AS (
