@@ -7,8 +7,8 @@ only pairs of blob and rule version that the ledger lacks, each once however
 many paths hold the blob, appends what it found, and joins the findings back to
 all paths.
 
-Texts are scanned by (path, blob) representatives, so a blob that a third of
-all rows hold is one scan and its copies meet only narrow rows.
+Texts are reduced to one copy a blob before they are scanned, so a blob that a
+third of all rows hold is one scan, and its copies meet only narrow rows.
 
 Defined results: a null text is the empty text (no finding); text of any length
 is scanned whole; repeated rows each get the findings; null ids are kept; an
@@ -52,9 +52,11 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(blob, *span) for blob, text in zip(batch["blob"], batch["text"], strict=True)
-                for span in find_spans(text)]
-        yield pd.DataFrame(rows, columns=["blob", "kind", "start", "end"])
+        rows: list[tuple] = []
+        for blob, text in zip(batch["blob"], batch["text"], strict=True):
+            rows += [(blob, *span) for span in find_spans(text)]
+            rows.append((blob, None, None, None))  # scanned
+        yield pd.DataFrame(rows, columns=["blob", "kind", "start", "end"]).astype({"start": "Int64", "end": "Int64"})
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -80,24 +82,34 @@ class Ledger:
     def findings(self) -> DataFrame:
         return self._read("findings", "blob string, rules string, kind string, start long, end long")
 
-    def update(self, paths: DataFrame, texts: DataFrame, rules: str = RULES_VERSION) -> None:
-        """Scan the blobs of ``paths`` (doc_id, blob) that lack this rule version.
-
-        Findings are appended before the pair is marked as scanned: a run that
+    def unseen(self, texts: DataFrame, rules: str = RULES_VERSION) -> DataFrame:
+        """blob, text: one row for each blob of ``texts`` that lacks this rule version.
+
+        Copies are reduced to one by partial aggregation before they move, so
+        neither repeated rows nor a text that a third of all rows hold bring
+        more than one copy a task together.  Where few blobs are new, the texts
+        of all others stay where they are."""
+        blobs = texts.select("blob")
+        done = self.scanned()
+        if not done.isEmpty():
+            new = written(blobs.distinct().join(done.where(F.col("rules") == rules).select("blob"), "blob", "left_anti"),
+                          "ledger-unseen")
+            texts = texts.join(small(new), "blob", "left_semi")
+        return texts.groupBy("blob").agg(F.first("text").alias("text"))
+
+    def update(self, texts: DataFrame, rules: str = RULES_VERSION) -> None:
+        """Scan the blobs of ``texts`` (blob, text) that lack this rule version.
+
+        Findings are appended before the pairs are marked as scanned: a run that
         dies between the two scans those blobs again, and ``spans_by_blob``
         counts a span found twice once."""
-        done = self.scanned().where(F.col("rules") == rules).select("blob")
-        reps = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id")).join(done, "blob", "left_anti")
-        reps = written(reps, "ledger-unseen")
-        # The text side streams past the narrow side: no sort of texts.
-        wanted = reps.select(F.col("doc_id").alias("rep_id"), F.col("blob").alias("rep_blob"))
-        unseen = texts.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep_id"))
-                            & (F.col("blob") == F.col("rep_blob")), "left_semi")
-        found = unseen.select("blob", "text").mapInPandas(_scan, _FOUND)
-        found.select("blob", F.lit(rules).alias("rules"), "kind", "start", "end") \
+        found = self.unseen(texts, rules).mapInPandas(_scan, _FOUND)
+        kept = written(found, "ledger-found")
+        kept.where("kind IS NOT NULL").select("blob", F.lit(rules).alias("rules"), "kind", "start", "end") \
             .write.mode("append").parquet(f"{self.path}/findings")
-        reps.select("blob", F.lit(rules).alias("rules")).write.mode("append").parquet(f"{self.path}/scanned")
-        forget(reps)
+        kept.where("kind IS NULL").select("blob", F.lit(rules).alias("rules")) \
+            .write.mode("append").parquet(f"{self.path}/scanned")
+        forget(kept)
 
     def spans_by_blob(self, rules: str = RULES_VERSION) -> DataFrame:
         """blob, spans (array of start, order, kind, end; sorted): blobs with findings."""
@@ -121,9 +133,10 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: str = RULES_VER
     spark = docs.sparkSession
     ledger = Ledger(spark, ledger_path or scratch(spark, "ledger"))
     texts = _with_blob(docs, id_col, text_col)
-    paths = written(texts.select("doc_id", "blob"), "ledger-paths")
-    ledger.update(paths, texts, rules)
-    return paths.join(ledger.spans_by_blob(rules), "blob", "left")
+    ledger.update(texts, rules)
+    # Written: the join is one of two plain exchanges, whose hot blobs Spark can split.
+    found = written(ledger.spans_by_blob(rules), "ledger-spans")
+    return texts.select("doc_id", "blob").join(small(found, "spans"), "blob", "left")
 
 
 def redacted(docs: DataFrame, marker: str = "[secret]", ledger_path: str | None = None,
@@ -133,7 +146,7 @@ def redacted(docs: DataFrame, marker: str = "[secret]", ledger_path: str | None
     spark = docs.sparkSession
     ledger = Ledger(spark, ledger_path or scratch(spark, "ledger"))
     texts = _with_blob(docs, id_col, text_col)
-    ledger.update(texts.select("doc_id", "blob"), texts, rules)
+    ledger.update(texts, rules)
     found = written(ledger.spans_by_blob(rules), "ledger-spans")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
                        F.col(text_col).alias("text"),

@@ -88,3 +88,27 @@ def test_few_blobs_with_many_spans_are_not_broadcast(spark, monkeypatch):
             assert sorted(r["text"] for r in out.collect()) == [f"{i} " + " ".join(["[secret]"] * spans) for i in range(2)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_each_blob_is_scanned_once_whatever_its_rows(spark):
+    rows = [(1, "token=abcdef1")] * 5 + [(None, "token=abcdef1")] * 4 + [(2, "x")] * 3 + [(None, None), (3, ""), (4, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ledger = S.Ledger(spark, scratch(spark, "ledger-test"))
+    texts = S._with_blob(docs, "doc_id", "text")
+    assert sorted(r["text"] for r in ledger.unseen(texts).collect()) == ["", "token=abcdef1", "x", "y"]
+    ledger.update(texts.where("text in ('x', 'y')"))
+    assert sorted(r["text"] for r in ledger.unseen(texts).collect()) == ["", "token=abcdef1"]
+    out = S.scan(docs, ledger.path).collect()
+    assert len(out) == len(rows) and sum(len(r["spans"] or []) for r in out) == 9
+    assert ledger.scanned().count() == 4
+
+
+def test_copies_meet_findings_over_plain_exchanges(spark, monkeypatch):
+    monkeypatch.setattr(common, "SMALL_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(1, "token=abcdef1")], "doc_id long, text string")
+        plan = S.scan(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan
