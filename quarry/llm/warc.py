@@ -2,9 +2,12 @@
 
 Writer: one gzip member per record.  Pages with equal payloads (by SHA-1)
 share one ``response`` record, that of the largest page id; the others become
-``revisit`` records without payload.  Members are compressed before they move,
-so the shuffle that brings a payload's pages and its largest id together
-carries compressed bytes, and only the narrow side of that join is hashed.
+``revisit`` records without payload.  Payloads that only one page has need no
+decision.  Of those that several share, a table of digest and largest id is
+written and, as far as a broadcast may hold it, most shared first, brought to
+the pages: their records are decided before they are compressed, and no payload
+moves.  Only pages of the digests beyond that are joined by a shuffle, which
+carries compressed bytes, and whose hot digests Spark can split.
 Each task writes files of its own name; only files that a finished task has
 returned are in the manifest, so a lost or repeated task leaves no trace in it.
 
@@ -36,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import scratch, written
+from quarry.llm.common import SMALL_ROWS, scratch, written
 
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 18
@@ -74,33 +77,48 @@ def _headers(kind: str, key: str | None, url: str | None, digest: str, size: int
             ("WARC-Refers-To", None if refers_to is None else _ID.format(quote(refers_to, safe="")))]
 
 
+def _record(key: str | None, url: str | None, digest: str, size: int, payload: bytes | None, top: str | None,
+            least_bytes: int, date: str, level: int) -> bytes:
+    """The member of a page: a revisit of page ``top`` if that is another one and
+    the payload long enough, else the response (nothing without its payload)."""
+    if top is not None and key != top and size >= least_bytes:
+        return _member(_headers("revisit", key, url, digest, size, date, top), _http(size), level)
+    if payload is None:
+        return b""
+    return _member(_headers("response", key, url, digest, size, date), _http(size) + payload, level)
+
+
 # -- writer --------------------------------------------------------------------
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: int = 6,
                    file_bytes: int = 1 << 30, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id",
-                   url_col: str = "url", html_col: str = "html") -> DataFrame:
+                   url_col: str = "url", html_col: str = "html", broadcast_rows: int = SMALL_ROWS) -> DataFrame:
     """Write all pages; returns the manifest (path, bytes, records).
 
     Payloads under ``least_bytes`` are never made revisits; a file is closed
-    once it passes ``file_bytes``."""
+    once it passes ``file_bytes``; at most ``broadcast_rows`` shared digests are
+    decided without a shuffle."""
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(url_col).alias("url"),
                         F.sha1(html).alias("sha1"), html.alias("html"))
-    best = (pages.select(F.sha1(html).alias("sha1"), F.col(id_col).alias("id"))
-            .groupBy("sha1").agg(F.max("id").cast("string").alias("best")))
+    shared = written(pages.select(F.sha1(html).alias("sha1"), F.col(id_col).alias("id")).groupBy("sha1").agg(
+        F.max("id").cast("string").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1"), "warc-shared")
+    few = shared.limit(broadcast_rows + 1).count() <= broadcast_rows
+    most = shared if few else written(shared.orderBy(F.desc("n"), "sha1").limit(broadcast_rows), "warc-most-shared")
 
     def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "url", "sha1", "size", "member", "decided"]
         for batch in batches:
             out, held = [], 0
-            for key, url, sha1, payload in batch.itertuples(index=False):
+            for key, url, sha1, payload, top, decided in batch.itertuples(index=False):
                 digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                head = _headers("response", key, url, digest, len(payload), date)
-                out.append((key, url, sha1, len(payload), _member(head, _http(len(payload)) + payload, level)))
-                held += len(out[-1][-1])
+                out.append((key, url, sha1, len(payload),
+                            _record(key, url, digest, len(payload), payload, top, least_bytes, date, level), decided))
+                held += len(out[-1][-2])
                 if held > 8_000_000:
-                    yield pd.DataFrame(out, columns=["key", "url", "sha1", "size", "member"])
+                    yield pd.DataFrame(out, columns=columns)
                     out, held = [], 0
-            yield pd.DataFrame(out, columns=["key", "url", "sha1", "size", "member"])
+            yield pd.DataFrame(out, columns=columns)
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -112,10 +130,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: i
         for batch in batches:
             for key, url, sha1, length, member, top in batch[
                     ["key", "url", "sha1", "size", "member", "best"]].itertuples(index=False):
-                if key != top and top is not None and length >= least_bytes:
+                if top is not None and key != top:
                     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                    head = _headers("revisit", key, url, digest, length, date, top)
-                    member = _member(head, _http(length), level)
+                    member = _record(key, url, digest, length, None, top, least_bytes, date, level) or member
                 if out is None:
                     files.create_dir(base, recursive=True)
                     path = f"{base}/{uuid.uuid4().hex}.warc.gz"
@@ -130,8 +147,18 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: i
             out.close()
             yield pd.DataFrame([(scheme + path, size, records)], columns=["path", "bytes", "records"])
 
-    members = rows.mapInPandas(compress, "key string, url string, sha1 string, size long, member binary")
-    placed = members.join(best.hint("shuffle_hash"), "sha1")
+    rows = rows.join(F.broadcast(most.select("sha1", "best", F.lit(True).alias("decided"))), "sha1", "left").select(
+        "key", "url", "sha1", "html", "best", "decided")  # at most broadcast_rows narrow rows
+    members = rows.mapInPandas(
+        compress, "key string, url string, sha1 string, size long, member binary, decided boolean")
+    if few:
+        placed = members.withColumn("best", F.lit(None).cast("string"))
+    else:
+        others = shared.join(F.broadcast(most.select("sha1")), "sha1", "left_anti").select("sha1", "best")
+        # No digest: rows that need no decision any more stay out of the hot keys.
+        wanted = F.when(F.col("decided").isNull(), F.col("sha1"))
+        placed = members.withColumn("wanted", wanted).join(
+            others.withColumnRenamed("sha1", "wanted"), "wanted", "left")
     return written(placed.mapInPandas(store, "path string, bytes long, records long"), "warc-manifest")
 
 

@@ -97,3 +97,19 @@ def test_a_member_broken_in_its_header_is_an_error():
     raw = W._member([("WARC-Type", "response"), ("WARC-Target-URI", uri)], b"x", 6)[:-100_000]
     with pytest.raises(Exception, match="inside a member"):
         list(W.read_range(io.BytesIO(raw), 0, len(raw)))
+
+
+@pytest.mark.parametrize("rows", [0, 1, 4])
+def test_more_shared_digests_than_may_be_broadcast(pages, rows):
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
+           for r in W.round_trip(pages, broadcast_rows=rows).collect()]
+    assert sorted(got, key=str) == expected(pages.collect())
+
+
+def test_long_enough_payloads_alone_are_revisits(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * (600 if i % 2 else 300)) for i in range(12)],
+                                  "page_id long, url string, html string")
+    for rows in (0, 1, 100):
+        got = W.round_trip(pages, broadcast_rows=rows, least_bytes=500).collect()
+        assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in got) == [
+            (i, "revisit", 11) if i % 2 and i < 11 else (i, "response", None) for i in range(12)]
