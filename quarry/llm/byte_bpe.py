@@ -8,6 +8,11 @@ sequences at once, until no sequence has a pair left; what remains is counted.
 A merge's result has a later rank than the merge, so merging all occurrences
 at once gives what merging them one by one from the left gives.
 
+A pre-token of over ``LONG`` bytes, such as unbroken base64 or unspaced script,
+would pass over all its symbols once a rank.  Its symbols are linked arrays, and
+the places of each rank's pairs are indexed, so that a round touches the
+occurrences of the lowest rank and their neighbours alone.
+
 Defined results: a null or empty text has no tokens; texts are counted whole;
 repeated rows and null ids are kept; an empty table gives no rows; other
 columns are left out.
@@ -15,6 +20,7 @@ columns are left out.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -27,6 +33,8 @@ from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
 _NONE = np.iinfo(np.int64).max
+LONG = 2_000      # bytes of a pre-token that is merged by itself
+CACHED = 200      # characters of the longest pre-token that the cache keeps
 
 
 def byte_symbols() -> list[str]:
@@ -106,6 +114,7 @@ class RankMerger:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         code = np.array([vocab[a] * self.base + vocab[b] for a, b in pairs], np.int64)
         self.result = np.array([vocab[a + b] for a, b in pairs], np.int64)  # by rank
+        self.by_rank = code
         self.rank = np.argsort(code, kind="stable")
         self.code = code[self.rank]
 
@@ -120,8 +129,62 @@ class RankMerger:
         out[:-1][known] = self.rank[at[known]]
         return out
 
+    def long_count(self, raw: bytes) -> int:
+        """Tokens of one long pre-token."""
+        sym = self.byte_id[np.frombuffer(raw, np.uint8)]
+        n = left = len(sym)
+        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        ranks: list[int] = []                     # a heap
+        places: dict[int, list[np.ndarray]] = {}  # rank -> where its pairs begin, or did once
+
+        def index(at: np.ndarray) -> None:
+            at = at[after[at] < n]
+            code = sym[at] * self.base + sym[after[at]]
+            spot = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+            known = self.code[spot] == code
+            at, rank = at[known], self.rank[spot[known]]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            cuts = np.flatnonzero(np.diff(rank)) + 1
+            for r, part in zip(rank[np.r_[0, cuts]].tolist() if len(rank) else (), np.split(at, cuts)):
+                if r not in places:
+                    heapq.heappush(ranks, r)
+                places.setdefault(r, []).append(part)
+
+        if len(self.code):
+            index(np.arange(n))
+        while ranks:
+            rank = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(places.pop(rank)))
+            at = at[alive[at] & (after[at] < n)]
+            at = at[sym[at] * self.base + sym[after[at]] == self.by_rank[rank]]
+            if not len(at):
+                continue
+            # Of a run of overlapping pairs (one symbol repeated) every other one merges.
+            starts = np.r_[True, after[at[:-1]] != at[1:]]
+            run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            gone = after[at]
+            sym[at], alive[gone] = self.result[rank], False
+            after[at] = after[gone]
+            inner = after[at] < n
+            before[after[at][inner]] = at[inner]
+            left -= len(at)
+            lower = before[at]
+            index(np.union1d(lower[lower >= 0], at))
+        return left
+
     def counts(self, words: list[str]) -> np.ndarray:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        long = [i for i, w in enumerate(raw) if len(w) > LONG]
+        by_itself = [self.long_count(raw[i]) for i in long]
+        for i in long:
+            raw[i] = b""
+        total = self._short_counts(raw)
+        total[long] = by_itself
+        return total
+
+    def _short_counts(self, raw: list[bytes]) -> np.ndarray:
         length = np.fromiter(map(len, raw), np.int64, len(raw))
         sym = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         seq = np.repeat(np.arange(len(raw)), length)
@@ -166,7 +229,11 @@ class TokenCounter:
         new = list({w for words, _ in found for w in words if w not in cache})
         if new:
             cache.update(zip(new, self.merger.counts(new).tolist(), strict=True))
-        return [sum(map(cache.__getitem__, words)) + len(added) for words, added in found]
+        counts = [sum(map(cache.__getitem__, words)) + len(added) for words, added in found]
+        for w in new:  # the cache is bounded in entries, and so in bytes
+            if len(w) > CACHED:
+                del cache[w]
+        return counts
 
     def __call__(self, texts: Iterable[str | None]) -> list[int]:
         out, held, chars = [], [], 0

@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -52,3 +53,24 @@ def test_tricky(tricky, nothing, library):
 def test_other_kinds_of_files_are_refused():
     with pytest.raises(ValueError):
         B.TokenCounter(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@pytest.mark.parametrize("seed, alphabet", [(1, "abcdefghijklmnopqrstuvwxyz"), (2, "ab"), (3, "a"), (4, "日本語のテキスト中文字"),
+                                            (5, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")])
+def test_long_pre_tokens_against_the_library(seed, alphabet):
+    rng = random.Random(seed)
+    counter, library = B.TokenCounter(PATH), Tokenizer.from_file(PATH)
+    for n in (B.LONG - 1, B.LONG + 1, 10_007, 30_000):
+        text = "".join(rng.choice(alphabet) for _ in range(n))
+        assert counter([text, f"x {text} y", ""]) == [len(library.encode(t, add_special_tokens=False).ids)
+                                                      for t in (text, f"x {text} y", "")]
+    assert all(len(w) <= B.CACHED for w in counter.cache)
+
+
+def test_a_million_unbroken_characters():
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    start = time.perf_counter()
+    got = B.TokenCounter(PATH)([text])
+    assert time.perf_counter() - start < 20
+    assert got == [len(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids)]
