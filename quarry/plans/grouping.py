@@ -256,11 +256,12 @@ _MINUTES_SQL = "date_sub('minute', o.o_orderdate, l.l_shipdate)"
 def _durations(t: Tables):
     """lineitem ⋈ orders with the whole minutes from order to shipment.
 
-    A fact-to-fact equi-join: both sides shuffle on the order key; AQE splits
-    a skewed order key on the lineitem side.
+    A fact-to-fact equi-join.  Where both tables have a current copy bucketed on
+    the order key, it runs bucket by bucket; else both sides shuffle on it, and
+    AQE splits a skewed order key on the lineitem side.
     """
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    j = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate").join(o, "l_orderkey")
+    o = t.by_key("orders", "o_orderkey").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    j = t.by_key("lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate").join(o, "l_orderkey")
     return j.withColumn("minutes", whole_units_between("MINUTE", "o_orderdate", "l_shipdate"))
 
 

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions import not_flagged
 from quarry.operators import (anti, anti_by_outer_join, broadcast_if_small, cents, dedupe_join, fanout,
-                              semi, top_k)
+                              per_key, semi, top_k)
 from quarry.plans.registry import report
-from quarry.plans.standins import PARTS_SQL, PEOPLE_SQL, parts, people, per_key
 from quarry.sources import Tables
 
 
@@ -95,9 +94,8 @@ def join_star_four(spark, sf_dir):
 
 
 @report("join_left_counts", ops=("J5", "A2", "A19"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT c.c_custkey, c.c_mktsegment, COUNT(e.event_id) AS n_events
-FROM people c LEFT JOIN events e ON c.c_custkey = e.user_id
+FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id
 GROUP BY c.c_custkey, c.c_mktsegment
 """)
 def join_left_counts(spark, sf_dir):
@@ -105,7 +103,7 @@ def join_left_counts(spark, sf_dir):
     repeated rows multiply its events, as the join does."""
     t = Tables(spark, sf_dir)
     per_user = t.events.groupBy("user_id").agg(F.count("event_id").alias("n_events"))
-    c = per_key(people(t), "c_custkey", "c_mktsegment")
+    c = per_key(t.customer, "c_custkey", "c_mktsegment")
     j = c.join(per_user, c["c_custkey"] == per_user["user_id"], "left")
     return j.select("c_custkey", "c_mktsegment",
                     (F.coalesce("n_events", F.lit(0)) * F.col("copies")).alias("n_events"))
@@ -229,13 +227,12 @@ def join_fanout(spark, sf_dir):
 
 
 @report("brand_unlisted_parts", ops=("J9", "J16", "A3", "O6"), sql=f"""
-WITH {PARTS_SQL},
-unlisted AS (
+WITH unlisted AS (
   SELECT DISTINCT sold.l_partkey FROM lineitem sold
   WHERE NOT EXISTS (SELECT 1 FROM lineitem back WHERE back.l_returnflag = 'R'
                     AND back.l_partkey = sold.l_partkey AND back.l_suppkey = sold.l_suppkey))
 SELECT brands.p_brand, COUNT(*) AS n_parts
-FROM unlisted JOIN (SELECT DISTINCT p_partkey, p_brand FROM parts) brands ON brands.p_partkey = unlisted.l_partkey
+FROM unlisted JOIN (SELECT DISTINCT p_partkey, p_brand FROM part) brands ON brands.p_partkey = unlisted.l_partkey
 GROUP BY brands.p_brand
 ORDER BY n_parts DESC, brands.p_brand
 """)
@@ -249,15 +246,14 @@ def brand_unlisted_parts(spark, sf_dir):
     pairs = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(
         F.coalesce(F.bool_or(F.col("l_returnflag") == "R"), F.lit(False)).alias("listed"))
     unlisted = pairs.filter(~F.col("listed") | F.col("l_suppkey").isNull()).select("l_partkey").distinct()
-    brand = parts(t).select(F.col("p_partkey").alias("l_partkey"), "p_brand").distinct()
+    brand = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand").distinct()
     return (unlisted.join(brand, "l_partkey").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
             .orderBy(F.desc("n_parts"), "p_brand"))
 
 
 @report("top_nations_by_active_customers", ops=("O6", "J13", "A3", "J4"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT n.n_name, COUNT(DISTINCT c.c_custkey) AS n_customers
-FROM events e JOIN people c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 ORDER BY n_customers DESC, n.n_name
 LIMIT 5
@@ -265,7 +261,7 @@ LIMIT 5
 def top_nations_by_active_customers(spark, sf_dir, k: int = 5):
     """Top nations by distinct active customers; both sides de-duplicated before the join."""
     t = Tables(spark, sf_dir)
-    users = dedupe_join(t.events.select(F.col("user_id").alias("c_custkey")), people(t), "c_custkey",
+    users = dedupe_join(t.events.select(F.col("user_id").alias("c_custkey")), t.customer, "c_custkey",
                         right_cols=["c_nationkey"])
     nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     j = users.join(broadcast_if_small(nations), "c_nationkey").select("c_custkey", "n_name").distinct()
@@ -274,9 +270,8 @@ def top_nations_by_active_customers(spark, sf_dir, k: int = 5):
 
 
 @report("users_per_segment", ops=("J1", "A3", "A12"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT c.c_mktsegment, COUNT(DISTINCT e.user_id) AS n_users, COUNT(*) AS n_events
-FROM events e JOIN people c ON e.user_id = c.c_custkey
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
 GROUP BY c.c_mktsegment
 """)
 def users_per_segment(spark, sf_dir):
@@ -284,7 +279,7 @@ def users_per_segment(spark, sf_dir):
     repeated rows multiply the rows, not the users."""
     t = Tables(spark, sf_dir)
     per_user = _events_per_user(t)
-    j = per_user.join(per_key(people(t), "c_custkey", "c_mktsegment"), F.col("user_id") == F.col("c_custkey"))
+    j = per_user.join(per_key(t.customer, "c_custkey", "c_mktsegment"), F.col("user_id") == F.col("c_custkey"))
     return j.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_users"),
                                          F.sum(F.col("n_events") * F.col("copies")).alias("n_events"))
 
@@ -308,10 +303,9 @@ def top_segments_by_events(spark, sf_dir, k: int = 3):
 
 
 @report("orders_per_customer_label", ops=("J2", "X13", "A20", "J5"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT c.c_custkey, IF(c.c_acctbal > 5000, 'high balance', 'standard') AS balance_label,
        COUNT(o.o_orderkey) AS n_orders
-FROM people c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey, c.c_acctbal
 """)
 def orders_per_customer_label(spark, sf_dir):
@@ -319,7 +313,7 @@ def orders_per_customer_label(spark, sf_dir):
     t = Tables(spark, sf_dir)
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count("o_orderkey").alias("n_orders"))
-    j = per_key(people(t), "c_custkey", "c_acctbal").join(per_cust, "c_custkey", "left")
+    j = per_key(t.customer, "c_custkey", "c_acctbal").join(per_cust, "c_custkey", "left")
     return j.select("c_custkey",
                     F.when(F.col("c_acctbal") > 5000, "high balance").otherwise("standard").alias("balance_label"),
                     (F.coalesce("n_orders", F.lit(0)) * F.col("copies")).alias("n_orders"))
@@ -347,9 +341,8 @@ def flag_not_excluded(spark, sf_dir):
 
 
 @report("clean_join_counts", ops=("D7", "F11", "J13", "A1", "A3", "J2"), sql=f"""
-WITH {PEOPLE_SQL},
-raw AS (SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_orderstatus
-             FROM people c JOIN orders o ON c.c_custkey = o.o_custkey)
+WITH raw AS (SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_orderstatus
+             FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey)
 SELECT COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_customers,
        (SELECT COUNT(DISTINCT c_custkey) FROM raw
          WHERE NOT (c_acctbal < 0) AND (o_orderstatus IS NULL OR o_orderstatus <> 'P')) AS n_clean_customers,
@@ -370,7 +363,7 @@ def clean_join_counts(spark, sf_dir):
     per_cust = o.groupBy("c_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(not_flagged("o_orderstatus", "P")).alias("n_clean_orders"))
-    c = people(t).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("copies"),
+    c = t.customer.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("copies"),
                                            F.count_if(~(F.col("c_acctbal") < 0)).alias("clean_copies"))
     j = c.join(per_cust, "c_custkey")
     rows, clean_rows = (F.col("copies") * F.col("n_orders"), F.col("clean_copies") * F.col("n_clean_orders"))

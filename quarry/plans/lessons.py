@@ -8,10 +8,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import after, map_values, not_flagged, two_way, weekday_name, whole_units_between
-from quarry.operators import anti, broadcast_if_small, semi
+from quarry.operators import anti, broadcast_if_small, per_key, semi
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
-from quarry.plans.standins import PEOPLE_SQL, people, per_key
 from quarry.sources import Tables, register_views
 
 
@@ -58,17 +57,16 @@ def in_subquery_counts(spark, sf_dir):
 
 
 @report("first_last_per_customer", ops=("A6", "J2", "F6", "F7"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT c.c_custkey, MIN(o.o_orderdate) AS first_order, MAX(o.o_orderdate) AS last_order,
        COUNT(o.o_orderkey) AS n_orders
-FROM (SELECT c_custkey, {SEG_SQL} AS seg FROM people) c JOIN orders o ON c.c_custkey = o.o_custkey
+FROM (SELECT c_custkey, {SEG_SQL} AS seg FROM customer) c JOIN orders o ON c.c_custkey = o.o_custkey
 WHERE c.seg = ''
 GROUP BY c.c_custkey
 """)
 def first_last_per_customer(spark, sf_dir):
     """First, last and total orders of the customers whose segment is blank - not NULL."""
     t = Tables(spark, sf_dir)
-    blank = people(t).select("c_custkey", segment_with_gaps().alias("seg")).filter(F.col("seg") == "")
+    blank = t.customer.select("c_custkey", segment_with_gaps().alias("seg")).filter(F.col("seg") == "")
     per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
         F.count("o_orderkey").alias("n_orders"))
@@ -112,8 +110,8 @@ def duration_hours_by_priority(spark, sf_dir, min_avg_hours: float = 24.0):
     """Mean and spread of positive whole-hour durations per order priority, groups with a
     mean above a threshold."""
     t = Tables(spark, sf_dir)
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
-    j = t.lineitem.select("l_orderkey", "l_shipdate").join(o, "l_orderkey")
+    o = t.by_key("orders", "o_orderkey").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    j = t.by_key("lineitem", "l_orderkey").select("l_orderkey", "l_shipdate").join(o, "l_orderkey")
     d = j.withColumn("hours", whole_units_between("HOUR", "o_orderdate", "l_shipdate")).filter(F.col("hours") > 0)
     return (d.groupBy("o_orderpriority")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.avg("hours").alias("avg_hours"),
@@ -276,9 +274,8 @@ def value_stats_one_type(spark, sf_dir, event_type: str = "purchase"):
 
 
 @report("customers_per_nation_segment", ops=("A3", "A13", "O2", "J2"), sql=f"""
-WITH {PEOPLE_SQL}
 SELECT c.c_nationkey, c.c_mktsegment, COUNT(DISTINCT o.o_custkey) AS n_customers
-FROM orders o JOIN people c ON o.o_custkey = c.c_custkey
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 GROUP BY c.c_nationkey, c.c_mktsegment
 HAVING COUNT(DISTINCT o.o_custkey) >= 12
 ORDER BY c.c_nationkey ASC, n_customers DESC
@@ -288,7 +285,7 @@ def customers_per_nation_segment(spark, sf_dir, min_customers: int = 12):
     ascending then descending.  Orders are first reduced to distinct customers."""
     t = Tables(spark, sf_dir)
     buyers = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    j = buyers.join(people(t).select("c_custkey", "c_nationkey", "c_mktsegment").distinct(), "c_custkey")
+    j = buyers.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment").distinct(), "c_custkey")
     return (j.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"))
             .filter(F.col("n_customers") >= min_customers)
             .orderBy(F.asc("c_nationkey"), F.desc("n_customers")))

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions import (WEEKDAYS_MONDAY_FIRST, not_flagged, order_by_list, pct_change, shift_hours, weekday_name,
                               whole_units_between)
-from quarry.operators import (all_null_columns, broadcast_if_small, dedupe_join, join_back_top, profile_table,
-                              scaled_ratio, spread, top_k)
+from quarry.operators import (all_null_columns, broadcast_if_small, dedupe_join, join_back_top, per_key,
+                              profile_table, scaled_ratio, spread, top_k)
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.periods import (MIN_DAYS, MIN_DAYS_FINE, _dept_month_stats, _store_places, _two_month_stats)
 from quarry.plans.registry import report
-from quarry.plans.standins import PEOPLE_SQL, people, per_key
 from quarry.sources import Tables, preview
 
 _CENTS = "CAST(ROUND(l_extendedprice * 100) AS BIGINT)"
@@ -97,9 +96,8 @@ def rise_nov_dec_dept_any(spark, sf_dir, min_days: int = MIN_DAYS_FINE):
 
 
 @report("clean_users_local_weekdays", ops=("J13", "D7", "F4", "F11", "X7", "X11", "D14", "O7", "A12"), sql=f"""
-WITH {PEOPLE_SQL},
-clean AS (
-  SELECT DISTINCT c_custkey FROM people JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+WITH clean AS (
+  SELECT DISTINCT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
   WHERE c_acctbal >= 0 AND r_name = 'AMERICA' AND n_name NOT IN ('CANADA', 'PERU')),
 home AS (SELECT user_id, ts - INTERVAL 6 HOUR AS seen FROM events WHERE event_type IS DISTINCT FROM 'error')
 SELECT CAST(year(seen) AS INTEGER) AS local_year, dayname(seen) AS weekday, COUNT(*) AS n_events
@@ -114,7 +112,7 @@ def clean_users_local_weekdays(spark, sf_dir, hours: int = -6):
     home = (t.nation.filter(~F.col("n_name").isin("CANADA", "PERU"))
             .join(broadcast_if_small(t.region.filter(F.col("r_name") == "AMERICA")),
                   F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey")))
-    clean = (people(t).filter(F.col("c_acctbal") >= 0).join(broadcast_if_small(home), "c_nationkey")
+    clean = (t.customer.filter(F.col("c_acctbal") >= 0).join(broadcast_if_small(home), "c_nationkey")
              .select(F.col("c_custkey").alias("user_id")).distinct())
     at = shift_hours("ts", hours)
     per_user = t.events.filter(not_flagged("event_type", "error")).groupBy(
@@ -125,9 +123,8 @@ def clean_users_local_weekdays(spark, sf_dir, hours: int = -6):
 
 
 _TOP_CLEAN_SQL = """
-WITH {people},
-clean AS (
-  SELECT DISTINCT c_custkey, c_nationkey FROM people WHERE c_acctbal >= 0 AND c_custkey IN (
+WITH clean AS (
+  SELECT DISTINCT c_custkey, c_nationkey FROM customer WHERE c_acctbal >= 0 AND c_custkey IN (
     SELECT user_id FROM events WHERE event_type IS DISTINCT FROM 'error'))
 SELECT n_name, COUNT(DISTINCT c_custkey) AS n_users
 FROM clean JOIN nation ON n_nationkey = c_nationkey {where}
@@ -138,7 +135,7 @@ GROUP BY n_name ORDER BY n_users DESC, n_name LIMIT {k}
 def _top_clean_nations(t: Tables, nations, k: int):
     """Nations by distinct clean users; flags removed on both sides, both de-duplicated."""
     active = t.events.filter(not_flagged("event_type", "error")).select(F.col("user_id").alias("c_custkey"))
-    users = dedupe_join(active, people(t).filter(F.col("c_acctbal") >= 0), "c_custkey", right_cols=["c_nationkey"])
+    users = dedupe_join(active, t.customer.filter(F.col("c_acctbal") >= 0), "c_custkey", right_cols=["c_nationkey"])
     named = users.join(broadcast_if_small(nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")),
                        "c_nationkey").select("n_name", "c_custkey").distinct()
     return top_k(named.groupBy("n_name").agg(F.count("c_custkey").alias("n_users")), k,
@@ -146,7 +143,7 @@ def _top_clean_nations(t: Tables, nations, k: int):
 
 
 @report("top_nations_clean_users", ops=("O6", "J13", "D7", "F11", "A3"),
-        sql=_TOP_CLEAN_SQL.format(people=PEOPLE_SQL, where="", k=10))
+        sql=_TOP_CLEAN_SQL.format(where="", k=10))
 def top_nations_clean_users(spark, sf_dir, k: int = 10):
     """The ten nations with most distinct clean users."""
     t = Tables(spark, sf_dir)
@@ -154,7 +151,7 @@ def top_nations_clean_users(spark, sf_dir, k: int = 10):
 
 
 @report("top_nations_clean_users_region", ops=("O6", "J13", "D7", "F11", "A3", "J10"), sql=_TOP_CLEAN_SQL.format(
-    people=PEOPLE_SQL, where="WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')", k=5))
+    where="WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')", k=5))
 def top_nations_clean_users_region(spark, sf_dir, k: int = 5):
     """The five nations of one region with most distinct clean users."""
     t = Tables(spark, sf_dir)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.layouts import bucketed, by_month_is_current
 from quarry.sources.sinks import month_partitions
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
@@ -81,16 +82,22 @@ class Tables:
         """A fact's rows of some calendar months, of any year.
 
         Where the folder has a copy laid out by month (``<name>_by_month``, see
-        ``write_by_month``), the months select its folders, and Spark opens no
-        other; else the whole fact is read and filtered."""
+        ``layouts.publish_by_month``) that was made from the fact as it is now,
+        the months select its folders, and Spark opens no other; else the whole
+        fact is read and filtered."""
         path = f"{self.sf_dir.rstrip('/')}/{name}_by_month"
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where):
+        if by_month_is_current(self.spark, table_path(self.sf_dir, name), path):
             schema = T.StructType([*SCHEMAS[name].fields, T.StructField("part_year", _I), T.StructField("part_month", _I)])
             rows = self.spark.read.schema(schema).parquet(path).filter(month_partitions(months=months))
             return rows.select(*SCHEMAS[name].fieldNames())
         return getattr(self, name).filter(F.month(ts_col).isin(list(months)))
 
+    def by_key(self, name: str, key: str) -> DataFrame:
+        """A table for a join on ``key``: its bucketed copy where there is a
+        current one (see ``layouts.publish_bucketed``), else the table itself."""
+        copy = bucketed(self.spark, table_path(self.sf_dir, name), key)
+        return getattr(self, name) if copy is None else copy
+
 
 def register_views(spark: SparkSession, sf_dir: str, names=None, qualified: bool = False) -> list[str]:
     """Register the tables as views so ``spark.sql`` can name them.

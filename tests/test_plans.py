@@ -108,7 +108,7 @@ def test_facts_are_reduced_before_they_meet_a_key(spark, sf_small, no_broadcast,
 
 def test_the_part_join_sees_month_rows_and_folders_are_pruned(spark, sf_small, tmp_path):
     from quarry.plans.periods import rise_nov_dec_dept
-    from quarry.sources import Tables, write_by_month
+    from quarry.sources import Tables, publish_by_month
 
     for name in ("part", "supplier", "nation", "region", "lineitem"):
         getattr(Tables(spark, sf_small), name).write.parquet(f"{tmp_path}/{name}.parquet")
@@ -117,7 +117,7 @@ def test_the_part_join_sees_month_rows_and_folders_are_pruned(spark, sf_small, t
     # The plan prints the join above what it reads: the aggregate by sku lies below it.
     assert text.index("l_partkey") < text.rindex("HashAggregate(keys=[l_partkey")
     want = plain.collect()
-    write_by_month(Tables(spark, sf_small).lineitem, f"{tmp_path}/lineitem_by_month", "l_shipdate")
+    publish_by_month(spark, f"{tmp_path}/lineitem.parquet", "l_shipdate", f"{tmp_path}/lineitem_by_month")
     pruned = rise_nov_dec_dept(spark, str(tmp_path))
     assert "part_month" in _formatted(pruned).split("PartitionFilters: [", 1)[1][:200]
     assert pruned.collect() == want
