@@ -8,8 +8,8 @@ linear softmax over two classes gives the score.
 Embeddings and softmax are trained jointly in numpy with Adam on a bounded
 sample of labelled rows (``SAMPLE_ROWS`` per class, lowest hash of the id
 first).  Tasks turn the sampled texts into counts of n-gram rows, which the
-driver reads one partition at a time and of which it keeps the rows that learn:
-no text goes to the driver.  Scoring needs one number per n-gram row, so the model that goes to
+driver reads some ``READ_BYTES`` at a time and of which it keeps the rows that
+learn: no text goes to the driver.  Scoring needs one number per n-gram row, so the model that goes to
 the tasks is ``2**BUCKET_BITS`` floats, whatever the corpus.
 
 Labels are learnt only from rows outside the held-out fold; label, language,
@@ -37,6 +37,7 @@ from quarry.llm.common import forget, written
 
 SAMPLE_ROWS = 2000   # labelled rows of each class that a model may learn from
 BUCKET_BITS = 17
+READ_BYTES = 32 << 20  # counts of the sample that go to the driver at a time
 _EDGES = ".,;:!?\"'()[]{}<>*_-"
 
 
@@ -166,11 +167,13 @@ class SubwordModel:
 
     def fit(self, texts: list[str | None], labels: list[int]) -> SubwordModel:
         """Learn from whole texts."""
-        own = list(bags(texts))
+        own = list(enumerate(bags(texts)))
         return self.fit_bags(lambda: own, labels)
 
-    def fit_bags(self, read: Callable[[], Iterable[tuple]], labels: list[int]) -> SubwordModel:
-        """Learn from what ``bags`` gives for whole texts, read twice.
+    def fit_bags(self, read: Callable[[], Iterable[tuple[int, tuple]]], labels: list[int]) -> SubwordModel:
+        """Learn from what ``bags`` gives for whole texts, read twice, each with
+        its text's place among the labels, in any order: sums are of whole
+        numbers, so the order changes nothing.
 
         Only n-gram rows that at least ``least_texts`` of them hold and whose
         share of a toxic text's n-grams is e**``least_ratio`` times that of a
@@ -182,11 +185,12 @@ class SubwordModel:
             return self
         rng = np.random.default_rng(self.seed)
         size = 1 << BUCKET_BITS
-        share, held_by = np.zeros((2, size)), np.zeros(size, np.int32)
-        for (words, rows, times, _), label in zip(read(), y.astype(int), strict=True):
+        units, held_by = np.zeros((2, size), np.int64), np.zeros(size, np.int32)
+        for i, (words, rows, times, _) in read():
             if words:
-                share[label, rows] += times / words
+                units[int(y[i]), rows] += (times / words * 2.0**40).astype(np.int64)
                 held_by[rows] += 1
+        share = units / 2.0**40
         toxic, smooth = y.sum(), 0.005 / y.sum()
         ratio = np.log((share[1] / toxic + smooth) / (share[0] / (len(y) - toxic) + smooth)) - self.least_ratio
         live = (ratio > 0) & (held_by >= self.least_texts)
@@ -198,12 +202,12 @@ class SubwordModel:
         soft = rng.normal(0, 0.01, (self.dim, 2)).astype(np.float32)
         soft[0] = -0.5, 0.5
         bias = np.array([1.0, -1.0], np.float32)
-        length, own = [], []
-        for words, rows, _, weights in read():
+        length: list[int] = [0] * len(y)
+        own: list = [None] * len(y)
+        for i, (words, rows, _, weights) in read():
             learn = live[rows]
-            length.append(words)
-            own.append((at[rows[learn]], weights[learn]))
-        del share, held_by, ratio
+            length[i], own[i] = words, (at[rows[learn]], weights[learn])
+        del units, share, held_by, ratio
         order = rng.permutation(np.flatnonzero(length))
         batches = []
         for part in np.array_split(order, max(1, round(len(order) / self.batch_texts))):
@@ -270,13 +274,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     # Written, as it is read twice: counts of n-gram rows, 2 ** BUCKET_BITS a text at most.
     counted = written(texts.mapInPandas(_bags_of, f"turn long, id {docs.schema[id_col].dataType.simpleString()}, "
                                         "label int, words long, rows binary, times binary, weights binary"), "toxicity-bags")
-    counted_in_order = counted.orderBy("turn", F.col("id").cast("string"))
-    rows = counted_in_order.select("label").collect()
+    other = F.xxhash64(F.lit(7), "id").alias("other")  # with the turn, 128 bits of a hash name a text
+    rows = counted.select("turn", other, "label",
+                          (F.length("rows") + F.length("times") + F.length("weights")).alias("bytes")).collect()
+    rows.sort(key=lambda r: (r["turn"], r["other"]))
+    place = {(r["turn"], r["other"]): i for i, r in enumerate(rows)}
+    # The driver holds one partition at a time: some READ_BYTES, whatever the partitions of the session.
+    parts = counted.select("turn", other, "words", "rows", "times", "weights").coalesce(
+        1 + sum(r["bytes"] for r in rows) // READ_BYTES)
 
     def read() -> Iterator[tuple]:
-        for r in counted_in_order.select("words", "rows", "times", "weights").toLocalIterator():
-            yield (r["words"], np.frombuffer(r["rows"], np.int32), np.frombuffer(r["times"], np.int64),
-                   np.frombuffer(r["weights"]))
+        for r in parts.toLocalIterator():
+            yield place[r["turn"], r["other"]], (r["words"], np.frombuffer(r["rows"], np.int32),
+                                                 np.frombuffer(r["times"], np.int64), np.frombuffer(r["weights"]))
 
     model = SubwordModel().fit_bags(read, [r["label"] for r in rows])
     forget(counted)
