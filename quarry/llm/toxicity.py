@@ -7,10 +7,11 @@ linear softmax over two classes gives the score.
 
 Embeddings and softmax are trained jointly in numpy with Adam on a bounded
 sample of labelled rows (``SAMPLE_ROWS`` per class, lowest hash of the id
-first).  Tasks turn the sampled texts into counts of n-gram rows, which the
-driver reads some ``READ_BYTES`` at a time and of which it keeps the rows that
-learn: no text goes to the driver.  Scoring needs one number per n-gram row, so the model that goes to
-the tasks is ``2**BUCKET_BITS`` floats, whatever the corpus.
+first).  Tasks turn the sampled texts into counts of n-gram rows and add up how
+often toxic and clean texts hold each; the driver picks from these sums the rows
+that learn, and gets of each text those rows alone: no text goes to the driver.
+Scoring needs one number per n-gram row, so the model that goes to the tasks is
+``2**BUCKET_BITS`` floats, whatever the corpus.
 
 Labels are learnt only from rows outside the held-out fold; label, language,
 source and id are never inputs of a score.
@@ -37,7 +38,6 @@ from quarry.llm.common import forget, written
 
 SAMPLE_ROWS = 2000   # labelled rows of each class that a model may learn from
 BUCKET_BITS = 17
-READ_BYTES = 32 << 20  # counts of the sample that go to the driver at a time
 _EDGES = ".,;:!?\"'()[]{}<>*_-"
 
 
@@ -155,6 +155,27 @@ class _Batch:
         return d_emb, text_vec.T @ d_logit, d_logit.sum(0)
 
 
+UNIT = 2.0**40  # shares are summed as whole numbers, so that the order of texts changes nothing
+
+
+def row_sums(counts: Iterable[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of each n-gram row's shares of the clean and of the toxic texts, texts
+    that hold it) over (words, rows, times, label) of texts."""
+    size = 1 << BUCKET_BITS
+    units, held_by = np.zeros((2, size), np.int64), np.zeros(size, np.int64)
+    for words, rows, times, label in counts:
+        if words:
+            units[int(label), rows] += (times / words * UNIT).astype(np.int64)
+            held_by[rows] += 1
+    return units, held_by
+
+
+def _live_part(live: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that learn, counted among those that do, and their weights."""
+    learn = live[rows]
+    return (np.cumsum(live) - 1)[rows[learn]], weights[learn]
+
+
 class SubwordModel:
     """Embedding table, softmax and their training."""
 
@@ -167,47 +188,36 @@ class SubwordModel:
 
     def fit(self, texts: list[str | None], labels: list[int]) -> SubwordModel:
         """Learn from whole texts."""
-        own = list(enumerate(bags(texts)))
-        return self.fit_bags(lambda: own, labels)
-
-    def fit_bags(self, read: Callable[[], Iterable[tuple[int, tuple]]], labels: list[int]) -> SubwordModel:
-        """Learn from what ``bags`` gives for whole texts, read twice, each with
-        its text's place among the labels, in any order: sums are of whole
-        numbers, so the order changes nothing.
-
-        Only n-gram rows that at least ``least_texts`` of them hold and whose
-        share of a toxic text's n-grams is e**``least_ratio`` times that of a
-        clean one (smoothed) learn; the log ratio is the first dimension's
-        start.  All other rows stay zero: with few labels they could only
-        memorise the sample."""
-        y = np.asarray(labels, float)
+        own, y = list(bags(texts)), np.asarray(labels, float)
         if not 0 < y.sum() < len(y):
             return self
-        rng = np.random.default_rng(self.seed)
-        size = 1 << BUCKET_BITS
-        units, held_by = np.zeros((2, size), np.int64), np.zeros(size, np.int32)
-        for i, (words, rows, times, _) in read():
-            if words:
-                units[int(y[i]), rows] += (times / words * 2.0**40).astype(np.int64)
-                held_by[rows] += 1
-        share = units / 2.0**40
+        units, held_by = row_sums((words, rows, times, label) for (words, rows, times, _), label in zip(
+            own, labels, strict=True))
+        live, ratio = self.learning_rows(units, held_by, y)
+        return self.train(live, ratio, [words for words, *_ in own], [_live_part(live, b[1], b[3]) for b in own], y)
+
+    def learning_rows(self, units: np.ndarray, held_by: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which n-gram rows learn, log ratio of their shares), from ``row_sums``.
+
+        Only rows that at least ``least_texts`` texts hold and whose share of a
+        toxic text's n-grams is e**``least_ratio`` times that of a clean one
+        (smoothed) learn; the log ratio is the first dimension's start.  All
+        others stay zero: with few labels they could only memorise the sample."""
+        share = units / UNIT
         toxic, smooth = y.sum(), 0.005 / y.sum()
         ratio = np.log((share[1] / toxic + smooth) / (share[0] / (len(y) - toxic) + smooth)) - self.least_ratio
-        live = (ratio > 0) & (held_by >= self.least_texts)
+        return (ratio > 0) & (held_by >= self.least_texts), ratio
 
-        # Tables of the rows that learn alone.
-        emb = rng.normal(0, 0.01, (size, self.dim))[live].astype(np.float32)
+    def train(self, live: np.ndarray, ratio: np.ndarray, length: list[int],
+              own: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> SubwordModel:
+        """Train on the words of each text and the (rows, weights) that learn,
+        rows counted among those that do."""
+        rng = np.random.default_rng(self.seed)
+        emb = rng.normal(0, 0.01, (len(live), self.dim))[live].astype(np.float32)
         emb[:, 0] = ratio[live]
-        at = np.cumsum(live) - 1
         soft = rng.normal(0, 0.01, (self.dim, 2)).astype(np.float32)
         soft[0] = -0.5, 0.5
         bias = np.array([1.0, -1.0], np.float32)
-        length: list[int] = [0] * len(y)
-        own: list = [None] * len(y)
-        for i, (words, rows, _, weights) in read():
-            learn = live[rows]
-            length[i], own[i] = words, (at[rows[learn]], weights[learn])
-        del units, share, held_by, ratio
         order = rng.permutation(np.flatnonzero(length))
         batches = []
         for part in np.array_split(order, max(1, round(len(order) / self.batch_texts))):
@@ -275,20 +285,27 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     counted = written(texts.mapInPandas(_bags_of, f"turn long, id {docs.schema[id_col].dataType.simpleString()}, "
                                         "label int, words long, rows binary, times binary, weights binary"), "toxicity-bags")
     other = F.xxhash64(F.lit(7), "id").alias("other")  # with the turn, 128 bits of a hash name a text
-    rows = counted.select("turn", other, "label",
-                          (F.length("rows") + F.length("times") + F.length("weights")).alias("bytes")).collect()
+    rows = counted.select("turn", other, "label").collect()
     rows.sort(key=lambda r: (r["turn"], r["other"]))
-    place = {(r["turn"], r["other"]): i for i, r in enumerate(rows)}
-    # The driver holds one partition at a time: some READ_BYTES, whatever the partitions of the session.
-    parts = counted.select("turn", other, "words", "rows", "times", "weights").coalesce(
-        1 + sum(r["bytes"] for r in rows) // READ_BYTES)
-
-    def read() -> Iterator[tuple]:
-        for r in parts.toLocalIterator():
-            yield place[r["turn"], r["other"]], (r["words"], np.frombuffer(r["rows"], np.int32),
-                                                 np.frombuffer(r["times"], np.int64), np.frombuffer(r["weights"]))
-
-    model = SubwordModel().fit_bags(read, [r["label"] for r in rows])
+    y = np.array([r["label"] for r in rows], float)
+    model = SubwordModel()
+    if 0 < y.sum() < len(y):
+        live, ratio = model.learning_rows(*_summed(counted), y)
+        # Of each text, only the rows that learn leave the tasks.
+        place = {(r["turn"], r["other"]): i for i, r in enumerate(rows)}
+        length, own = [0] * len(y), [(np.zeros(0, np.int64), np.zeros(0))] * len(y)
+
+        def live_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                parts = [_live_part(live, np.frombuffer(r, np.int32), np.frombuffer(w))
+                         for r, w in zip(batch["rows"], batch["weights"], strict=True)]
+                yield batch.assign(rows=[p[0].tobytes() for p in parts], weights=[p[1].tobytes() for p in parts])
+
+        for r in counted.select("turn", other, "words", "rows", "weights").mapInPandas(
+                live_parts, "turn long, other long, words long, rows binary, weights binary").collect():
+            i = place[r["turn"], r["other"]]
+            length[i], own[i] = r["words"], (np.frombuffer(r["rows"], np.int64), np.frombuffer(r["weights"]))
+        model.train(live, ratio, length, own, y)
     forget(counted)
     # The sample is even-handed where the labels are not: the bias goes back to their odds.
     n = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
@@ -298,6 +315,31 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_ROWS, i
     return model
 
 
+def _summed(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``row_sums`` of all texts, added up in Spark: at most 2 ** BUCKET_BITS rows
+    of four numbers come back, packed."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        units, held_by = row_sums((words, np.frombuffer(rows, np.int32), np.frombuffer(times, np.int64), label)
+                                  for batch in batches for words, rows, times, label in batch.itertuples(index=False))
+        row = np.flatnonzero(held_by)
+        yield pd.DataFrame({"row": row, "clean": units[0, row], "toxic": units[1, row], "held": held_by[row]})
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([[group[c].to_numpy(np.int64).tobytes() for c in columns]], columns=columns)
+
+    columns = ["row", "clean", "toxic", "held"]
+    sums = counted.select("words", "rows", "times", "label").mapInPandas(
+        partial, "row long, clean long, toxic long, held long").groupBy("row").agg(
+            *[F.sum(c).alias(c) for c in columns[1:]])
+    units, held_by = np.zeros((2, 1 << BUCKET_BITS), np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
+    for r in sums.groupBy(F.floor(F.col("row") / 4096)).applyInPandas(
+            packed, "row binary, clean binary, toxic binary, held binary").collect():
+        row, clean, toxic, held = (np.frombuffer(r[c], np.int64) for c in columns)
+        units[0, row], units[1, row], held_by[row] = clean, toxic, held
+    return units, held_by
+
+
 def _bags_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """turn, id, label and the bag of each text, some MB at a time."""
     columns = ["turn", "id", "label", "words", "rows", "times", "weights"]
