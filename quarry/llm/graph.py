@@ -3,7 +3,8 @@
 Alternating large-star and small-star steps (a published MapReduce method):
 each node's larger, then smaller, neighbours are rewired to the smallest node
 of its neighbourhood, until the links are stars around component minima.  Hubs
-are reduced map-side first; every round is written to the shared folder.
+are reduced map-side first; every round is written to the shared folder, in as
+many files as its links need (``LINKS_A_FILE``), not as the session has partitions.
 """
 
 from __future__ import annotations
@@ -14,13 +15,16 @@ from pyspark.sql import functions as F
 from quarry.llm.common import forget, written
 
 
-def _large_star(links: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+LINKS_A_FILE = 20_000
+
+
+def _large_star(links: DataFrame, label: str, files: int) -> tuple[DataFrame, DataFrame]:
     """The rewired links, and the written table of least neighbours they read."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # Written, so that the join below is one of two plain exchanges: Spark can
     # then split the rows of a hub, which an aggregate in between would prevent.
     low = written(both.groupBy("u").agg(F.min("v").alias("low")).select(
-        F.col("u").alias("node"), F.least("u", "low").alias("low")), f"{label}-low")
+        F.col("u").alias("node"), F.least("u", "low").alias("low")).coalesce(files), f"{label}-low")
     # u's neighbours above u go to the least of u's neighbourhood.
     moved = both.where("v > u").join(low, F.col("u") == F.col("node")).select(
         F.col("v").alias("u"), F.col("low").alias("v"))
@@ -51,8 +55,9 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     state = _state(now)
     while state[0]:
         then, before = now, state
-        rewired, low = _large_star(then, label)
-        now = written(_small_star(rewired), label)
+        files = 1 + state[0] // LINKS_A_FILE
+        rewired, low = _large_star(then, label, files)
+        now = written(_small_star(rewired).coalesce(files), label)
         state = _state(now)
         forget(then)
         forget(low)
