@@ -78,3 +78,22 @@ def test_tight_clusters_are_hardly_replicated(spark):
         rows.append((i, [float(x) for x in (v + rng.normal(0, 0.05, 32)).astype(np.float32)], 0))
     out = M.range_join(spark.createDataFrame(rows, SCHEMA), cell_size=20).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {i: (19, i % 30) for i in range(600)}
+
+
+def test_vectors_without_structure_become_one_grid(spark, monkeypatch):
+    """Cut into cells, each would be copied to nearly all; the clustered label stays cut."""
+    monkeypatch.setattr(M, "FEW_COPIES", 9)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 24).astype(np.float32)], 0) for i in range(300)]
+    centre = np.eye(24)[rng.integers(0, 4, 300)] * 9 + rng.normal(0, 0.1, (300, 24))
+    rows += [(1000 + i, [float(x) for x in v.astype(np.float32)], 1) for i, v in enumerate(centre)]
+    kept = []
+    plain = M._worth_cutting
+    monkeypatch.setattr(M, "_worth_cutting", lambda *a: kept.append(plain(*a)) or kept[-1])
+    out = M.range_join(spark.createDataFrame(rows, SCHEMA), cell_size=15, block=100).collect()
+    assert kept == [{(1, 24)}]
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == brute(rows)
+
+
+def test_blocks_hold_bounded_bytes():
+    assert M._block_rows(64) * 64 * 8 <= M.BLOCK_BYTES and M._block_rows(10**6) == 1024
