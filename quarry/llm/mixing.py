@@ -18,7 +18,8 @@ The only tables ordered whole have one row per source or per time range.
 Defined results: a null source is a source of its own, after all others; null
 or wordless text has size 0 and takes nothing; a source without words gets
 target 0; repeated equal rows (id, text and source) are one packet, taken or
-left together; an empty table gives no rows; columns other than id, text and
+left together; packets that finish at the same tick are ordered by source, round,
+place and id; an empty table gives no rows; columns other than id, text and
 source are not looked at, whatever their names.
 """
 
@@ -124,6 +125,13 @@ def mix_cuts(docs: DataFrame, weights=(3, 1, 2), budget_share: float = 1.5, max_
     queue that the mix takes: ``rounds`` whole rounds, then all packets up to
     (``cut_place``, ``cut_id``)."""
     packets = written(docs.select(*_packet(seed, id_col, text_col, source_col)), "mix-packets")
+    cuts = _packet_cuts(packets, weights, budget_share, max_repeat)
+    forget(packets)
+    return cuts
+
+
+def _packet_cuts(packets: DataFrame, weights=(3, 1, 2), budget_share: float = 1.5, max_repeat: int = 2) -> DataFrame:
+    """``mix_cuts`` of a written table of packets."""
     targets = written(source_targets(packets, weights, budget_share, max_repeat), "mix-targets")
     budget = (targets.agg(F.sum("source_size")).first()[0] or 0) * budget_share
     ends = written(_queue_ends(packets, targets, max_repeat), "mix-ends")
@@ -143,7 +151,7 @@ def mix_cuts(docs: DataFrame, weights=(3, 1, 2), budget_share: float = 1.5, max_
         "source", "source_size", "target", F.coalesce("last.round", F.lit(0)).alias("rounds"),
         F.coalesce("last.place", F.lit(-1)).alias("cut_place"), F.col("last.doc_id").alias("cut_id")),
         "mix-cuts")
-    for t in (packets, targets, ends):
+    for t in (targets, ends):
         forget(t)
     return cuts
 
@@ -160,10 +168,11 @@ def _decide(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def mix_report(docs: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source", **options) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: every document."""
-    cols = (seed, id_col, text_col, source_col)
-    cuts = mix_cuts(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    return _decide(docs.select(*_packet(*cols)), cuts).select(
+    """doc_id, source, size, source_size, target, copies, taken: every document.
+
+    The texts are read once, for the packets."""
+    packets = written(docs.select(*_packet(seed, id_col, text_col, source_col)), "mix-packets")
+    return _decide(packets, _packet_cuts(packets, **options)).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"))
 
