@@ -13,7 +13,8 @@ would pass over all its symbols once a rank.  Its symbols are linked arrays, and
 the places of each rank's pairs are indexed, so that a round touches the
 occurrences of the lowest rank and their neighbours alone.
 
-Defined results: a null or empty text has no tokens; texts are counted whole;
+Defined results: a null or empty text has no tokens; two pairs never tie, as each
+has a rank of its own, and places of one pair merge from the left; texts are counted whole;
 repeated rows and null ids are kept; an empty table gives no rows; other
 columns are left out.
 """

@@ -22,7 +22,8 @@ Ranks are prefix sums per (length, hash range): the one length that most
 pieces share, a full sequence, is spread over all ranges.
 
 Defined results: a null text is the empty text, one end token; texts are
-tokenised whole; repeated rows are packed each on its own; null ids are kept;
+tokenised whole; repeated rows are packed each on its own; pieces of equal length
+trade places freely, and do so by hash, id, piece and checksum; null ids are kept;
 an empty table gives no rows; other columns are left out.
 """
 
@@ -56,7 +57,8 @@ class TokenIds:
     both libraries; a text with one that they cut differently (their Unicode
     tables differ in newly assigned ones), with an added token or with a long
     run of white space, at some 1,000,000 of which ``tiktoken`` panics, goes
-    to ``tokenizers`` itself."""
+    to ``tokenizers`` itself.  ``tiktoken`` merges in the order of ids: with a
+    file whose merges are not in that order all texts do."""
 
     #: A run of twice as many white-space characters holds a whole block of them.
     SPACE_BLOCK = 50_000
@@ -75,6 +77,10 @@ class TokenIds:
         self.fast = tiktoken.Encoding("file", pat_str=PreTokens.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={}).encode_ordinary
         self.library = Tokenizer.from_file(path)
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        made = [vocab[a + b] for a, b in merges]
+        if any(x >= y for x, y in zip(made, made[1:])) or len(made) + 256 != len(vocab):
+            self.fast = self._by_library
         self.agreed: set[str] = set()
         self.odd: set[str] = set()
 

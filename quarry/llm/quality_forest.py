@@ -18,7 +18,8 @@ of each class, lowest hash of the id first, held-out fold excluded); every text
 is measured whole and scored.
 
 Defined results: a null or empty text has no words and fails the base rules; a
-null id is kept and never learnt from; repeated rows are judged alike; without
+null id is kept and never learnt from; repeated rows are judged alike, and a score
+equal to the threshold is kept; without
 labelled rows of both classes, or with fewer than two good ones that pass the
 base rules, only these decide; an empty table gives no rows; other columns are
 left out.

@@ -11,7 +11,8 @@ Texts are reduced to one copy a blob before they are scanned, so a blob that a
 third of all rows hold is one scan, and its copies meet only narrow rows.
 
 Defined results: a null text is the empty text (no finding); text of any length
-is scanned whole; repeated rows each get the findings; null ids are kept; an
+is scanned whole; spans that start together are ordered by kind as listed;
+repeated rows each get the findings; null ids are kept; an
 empty table gives an empty result; other columns are left out.
 """
 

@@ -18,7 +18,7 @@ source and id are never inputs of a score.
 
 Defined results: a null, empty or wordless text scores the model's value for an
 empty window; whole texts are scored; a null id is not held out and never
-learnt from; repeated rows score alike; without labelled rows of both classes
+learnt from; repeated rows score alike, and a score of exactly 0.5 is predicted 1; without labelled rows of both classes
 every score is 0; an empty table gives no rows; other columns are left out.
 """
 

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -140,3 +141,20 @@ def test_sequences_hold_their_documents(docs, library):
     for t in texts.values():
         want.update(library.encode(t or "", add_special_tokens=False).ids + [2])
     assert tokens == want
+
+
+def test_merges_out_of_the_order_of_ids_go_to_the_library(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert P.TokenIds(PATH).fast.__name__ == "encode_ordinary"
+    vocab = spec["model"]["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+    a, b = ("".join(merges[i]) for i in (0, 400))
+    vocab[a], vocab[b] = vocab[b], vocab[a]  # the first merge's token now has a late id
+    path = str(tmp_path / "swapped.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    library, encode = Tokenizer.from_file(path), P.TokenIds(path)
+    assert encode.fast == encode._by_library
+    for text in ("the theatre in the winter", "interesting things there"):
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
