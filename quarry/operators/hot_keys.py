@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import broadcast_if_small
-from quarry.session import shared_dir, unique_name
+from quarry.session import kept
 
 
 def hot_grids(left: DataFrame, right: DataFrame, left_key: str, right_key: str, target_rows: int) -> DataFrame:
@@ -64,10 +64,7 @@ def exploded_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     slices, and a lost task must see them again in the same order)."""
     if how not in ("inner", "left"):
         raise ValueError("inner or left")
-    spark = left.sparkSession
-    path = shared_dir(spark, unique_name("hot-keys"))
-    hot_grids(left, right, left_key, right_key, target_rows).write.parquet(path)
-    grids = spark.read.parquet(path)
+    grids = kept(hot_grids(left, right, left_key, right_key, target_rows), "hot-keys")
     columns = [*left.columns, *right.columns]
 
     def joined(left_rows: DataFrame, which: DataFrame, kind: str) -> DataFrame:

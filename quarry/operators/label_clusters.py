@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir, unique_name
+from quarry.session import kept
 
 
 def folded(label: Column) -> Column:
@@ -36,12 +36,6 @@ def fingerprint(label: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(words, lambda w: w != ""))), " ")
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    path = shared_dir(df.sparkSession, unique_name(label))
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _hashes(text: Column, place: Column) -> list[Column]:
     """A key as two 64-bit hashes: keys as long as the label times its length would weigh more than the table."""
     return [F.xxhash64(text, place).alias("h1"), F.xxhash64(F.lit(17), text, place).alias("h2")]
@@ -73,21 +67,21 @@ def clusters(df: DataFrame, column: str, least_length: int = 5) -> DataFrame:
     for none): of short words, most are one edit from another."""
     label = F.col(column).alias("label")
     counts = df.select(label).where(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
-    labels = _kept(counts.select("*", folded(F.col("label")).alias("text"), fingerprint(F.col("label")).alias("mark"))
+    labels = kept(counts.select("*", folded(F.col("label")).alias("text"), fingerprint(F.col("label")).alias("mark"))
                    .where("mark <> ''"), "label-texts")
     keys = _memberships(labels, least_length)
     # Keys of one label link nothing.
     shared = keys.groupBy("h1", "h2").agg(F.min("label").alias("first"), F.max("label").alias("last")).where(
         "first <> last").select("h1", "h2")
-    member = _kept(keys.join(shared, ["h1", "h2"], "left_semi"), "label-keys")
+    member = kept(keys.join(shared, ["h1", "h2"], "left_semi"), "label-keys")
     # Each label takes the least label that a key of its own knows, until none changes.
-    state = _kept(member.select("label").distinct().withColumn("root", F.col("label")), "label-roots")
+    state = kept(member.select("label").distinct().withColumn("root", F.col("label")), "label-roots")
     while True:
         least = member.join(state, "label").groupBy("h1", "h2").agg(F.min("root").alias("least"))
         near = member.join(least, ["h1", "h2"]).groupBy("label").agg(F.min("least").alias("near"))
         # A root's own root is as good, and halves the way.
         jump = state.select(F.col("label").alias("near"), F.col("root").alias("far"))
-        moved = _kept(near.join(jump, "near").select("label", F.least("near", "far").alias("root")), "label-roots")
+        moved = kept(near.join(jump, "near").select("label", F.least("near", "far").alias("root")), "label-roots")
         changed = moved.join(state.withColumnRenamed("root", "old"), "label").where("root <> old").limit(1).count()
         state = moved
         if not changed:

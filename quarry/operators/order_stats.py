@@ -26,19 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import broadcast_if_small
-from quarry.session import shared_dir, unique_name
+from quarry.session import kept
 
 EDGES = 32         # cells' edges of a round
 FEW_ROWS = 2_000   # rows of a cell that are sorted in one group
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read again: each round starts from a table."""
-    path = shared_dir(df.sparkSession, unique_name(label))
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
     """Join on columns that may hold NULL, as groups do."""
     other = right.select(*[F.col(n).alias(f"_{n}") for n in names], *[c for c in right.columns if c not in names])
@@ -53,7 +46,7 @@ def _cells(rows: DataFrame, tags: Sequence[str]) -> DataFrame:
     NULL for no bound.  ``held`` rows lie in it and ``before`` in lower cells."""
     share = F.array(*[F.lit(i / (EDGES - 1)) for i in range(EDGES)])
     # The least and the largest are edges too: a round settles these at least.
-    edges = _kept(rows.groupBy(*tags).agg(F.sort_array(F.array_distinct(F.concat(
+    edges = kept(rows.groupBy(*tags).agg(F.sort_array(F.array_distinct(F.concat(
         F.percentile_approx("x", share, F.lit(1000)), F.array(F.min("x"), F.max("x"))))).alias("edges")), "order-edges")
     below = F.size(F.filter("edges", lambda e: e < F.col("x")))
     at = F.array_contains("edges", F.col("x"))
@@ -85,13 +78,13 @@ def values_at(rows: DataFrame, keys: Sequence[str], ranks: DataFrame, few_rows:
         found = values_at(rows.withColumn("_all", F.lit(0)), ["_all"], ranks.withColumn("_all", F.lit(0)), few_rows)
         return found.drop("_all")
     names = [*keys, "rank"]
-    first = _kept(_cells(rows, keys), "order-cells")
+    first = kept(_cells(rows, keys), "order-cells")
     unbounded = F.lit(None).cast(rows.schema["x"].dataType)
     state = _same(ranks.withColumn("left", F.col("rank")), first, keys).withColumns(
         {"from": unbounded, "to": unbounded})
     done: list[DataFrame] = []
     while True:
-        state = _kept(state.where((F.col("left") > F.col("before")) & (F.col("left") <= F.col("before") + F.col("held")))
+        state = kept(state.where((F.col("left") > F.col("before")) & (F.col("left") <= F.col("before") + F.col("held")))
                       .select(*names, (F.col("left") - F.col("before")).alias("left"),
                               F.coalesce("low", "from").alias("low"), F.coalesce("high", "to").alias("high"), "held"),
                       "order-state")
@@ -108,7 +101,7 @@ def values_at(rows: DataFrame, keys: Sequence[str], ranks: DataFrame, few_rows:
         # Each rank's rows in question, by its own number: a row may lie in several intervals.
         within = _same(rows, many, keys).where(_inside()).select(*names, "x")
         state = _same(many.select(*names, "left", F.col("low").alias("from"), F.col("high").alias("to")),
-                      _kept(_cells(within, names), "order-cells"), names)
+                      kept(_cells(within, names), "order-cells"), names)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float],
@@ -119,7 +112,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, shares: Seq
     rows = df.select(*keys, x.alias("x")).where(x.isNotNull() & ~F.isnan(x.cast("double")))
     share = F.array(*[F.lit(float(s)) for s in shares])
     n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
-    wanted = _kept(n.select(*keys, "n", F.explode(share).alias("share")).withColumn(
+    wanted = kept(n.select(*keys, "n", F.explode(share).alias("share")).withColumn(
         "rank", F.greatest(F.lit(1), F.ceil(F.col("share") * F.col("n"))).cast("long")), "order-ranks")
     found = values_at(rows, keys, wanted.select(*keys, "rank").distinct(), few_rows)
     names = [*keys, "rank"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import (WEEKDAYS_MONDAY_FIRST, not_flagged, order_by_list, pct_change, shift_hours, weekday_name,
                               whole_units_between)
-from quarry.operators import (all_null_columns, broadcast_if_small, dedupe_join, join_back_top, per_key,
+from quarry.operators import (broadcast_if_small, dedupe_join, join_back_top, per_key,
                               profile_table, scaled_ratio, spread, top_k)
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.periods import (MIN_DAYS, MIN_DAYS_FINE, _dept_month_stats, _store_places, _two_month_stats)
@@ -241,12 +241,13 @@ def null_key_join(spark, sf_dir):
         per = blanked.groupBy(F.col(key).alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
         return F.coalesce(per.join(c, "c_custkey").agg(F.sum(F.col("n") * F.col("copies"))).scalar(), F.lit(0))
 
-    profile = profile_table(blanked)
-    # One row per empty column, so at most as many as the table has columns.
-    empty = all_null_columns(blanked).agg(F.array_join(F.array_sort(F.collect_list("column_name")), ","))
-    return profile.filter(F.col("column_name") == "user_id").select(
-        joined("user_id").alias("n_on_null_key"), joined("o_custkey").alias("n_on_other_key"),
-        F.col("n_nulls").alias("n_null_keys"), empty.scalar().alias("empty_columns"))
+    # One row a column: at most as many names as the table has columns.
+    empty = F.collect_list(F.when(F.col("n_non_null") == 0, F.col("column_name")))
+    return profile_table(blanked).agg(
+        F.coalesce(F.max(F.when(F.col("column_name") == "user_id", F.col("n_nulls"))), F.lit(0)).alias("n_null_keys"),
+        F.array_join(F.array_sort(empty), ",").alias("empty_columns")).select(
+            joined("user_id").alias("n_on_null_key"), joined("o_custkey").alias("n_on_other_key"),
+            "n_null_keys", "empty_columns")
 
 
 @report("coerced_comparisons", ops=("F15", "F1"), sql="""

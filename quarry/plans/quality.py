@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.operators import blank_null_breakdown, duplicate_keys, orphan_keys, profile_table
 from quarry.plans.basics import SEG_SQL, segment_with_gaps
 from quarry.plans.registry import report
+from quarry.session import delete_at_exit
 from quarry.sources import SCHEMAS, Tables, export_folder, read_csv, write_csv
 
 _EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -120,6 +121,7 @@ def csv_roundtrip(spark, sf_dir):
     table's schema: blank labels stay blank, NULL ones NULL.  Every task writes its own part file."""
     sel = Tables(spark, sf_dir).customer.withColumn("c_mktsegment", segment_with_gaps())
     path = write_csv(sel, export_folder(spark, "customer"))
+    delete_at_exit(spark, path)
     return read_csv(spark, path, SCHEMAS["customer"])
 
 
@@ -129,4 +131,5 @@ SELECT doc_id, text, lang, source, n_chars FROM documents
 def csv_roundtrip_texts(spark, sf_dir):
     """The same for whole texts with line breaks, quotes and commas."""
     path = write_csv(Tables(spark, sf_dir).documents, export_folder(spark, "documents"))
+    delete_at_exit(spark, path)
     return read_csv(spark, path, SCHEMAS["documents"])

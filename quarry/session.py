@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run wants, whatever the scale.
 _BASE_CONF = {
@@ -63,6 +63,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts]) if parts else base
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's JVM delete a scratch folder, if it exists by then, when it ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage is cut, and a
+    lost executor costs its running tasks only.  The folder goes with the driver."""
+    spark = df.sparkSession
+    path = shared_dir(spark, unique_name(label))
+    df.write.parquet(path)
+    delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def unique_name(prefix: str) -> str:
     """A collision-free folder name for one job's output."""
     return f"{prefix}-{os.getpid()}-{os.urandom(4).hex()}"
