@@ -90,7 +90,7 @@ def test_days_and_strings(spark, ties):
 
 
 def test_a_deep_page_sorts_no_prefix(spark, sf_small):
-    df = QUERIES["lines_page_500"](spark, sf_small)
+    df = QUERIES["lines_page_500"](spark, sf_small, few_rows=500)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert df.count() == 10
     # What is sorted is what lies between the page's ends, by pushed filters.
