@@ -63,3 +63,28 @@ def test_hot_user_is_dealt_over_tasks(spark, sf_small):
     grid = hot_grids(t.events.select("user_id"), t.orders.select("o_custkey"), "user_id", "o_custkey", 200).where(
         F.col("key") == hot["user_id"]).first()
     assert grid["rows_of"] * grid["columns_of"] >= hot["count"] / 200
+
+
+def test_no_task_has_twice_the_median(spark, sf_small):
+    out = export_folder(spark, "skewed-tables")
+    derive(spark, sf_small, out)
+    t = Tables(spark, out)
+    left, right = t.events.select("event_id", "user_id"), t.orders.select("o_custkey", "o_orderkey")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+        def rows_a_task(df):
+            n = sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+            return n[-1], n[len(n) // 2]
+
+        plain = left.join(right, F.col("user_id") == F.col("o_custkey"))
+        most, median = rows_a_task(plain)
+        assert most > 2 * median  # the hot user's rows are one task's
+        most, median = rows_a_task(exploded_join(left, right, "user_id", "o_custkey", "inner", 25))
+        assert most <= 2 * median
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

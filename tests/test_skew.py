@@ -13,7 +13,9 @@ REPORTS = ["best_month_per_supplier", "returns_month_per_supplier", "rise_nov_de
            "duration_minutes_stats", "rows_above_average_duration", "join_inner_two_keys",
            "join_fanout", "join_left_counts", "users_per_segment", "top_nations_by_active_customers",
            "orphan_keys", "spread_by_group", "attr_and_representative", "dedupe_before_join",
-           "brand_unlisted_parts", "profile_events", "weekday_counts", "clean_join_counts"]
+           "brand_unlisted_parts", "profile_events", "weekday_counts", "clean_join_counts",
+           "events_orders_exploded", "exact_price_quantiles", "distinct_by_month_and_total",
+           "lines_of_large_urgent_orders", "nation_month_spine", "lines_page_500"]
 
 
 @pytest.fixture(scope="module")
