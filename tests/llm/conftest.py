@@ -43,6 +43,11 @@ def nothing(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
 
 
+@pytest.fixture(scope="session")
+def sf_large():
+    return "/root/testdata/sf0.1"
+
+
 @pytest.fixture(scope="session")
 def docs(spark, sf_small):
     return spark.read.parquet(f"{sf_small}/documents.parquet")

@@ -63,9 +63,8 @@ def test_bad_rows_that_all_fail_the_base_rules(spark):
     assert np.mean([out[i] for i, _, q in rows if not q]) <= 0.5
 
 
-def test_sample_data_held_out(spark):
-    big = "/root/testdata/sf0.1"
-    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+def test_sample_data_held_out(spark, sf_large):
+    docs, labels = (spark.read.parquet(f"{sf_large}/{t}.parquet") for t in ("documents", "labels"))
     rows = [r for r in Q.judge(docs, labels).join(labels, "doc_id").where(
         "crc32(cast(cast(doc_id as string) as binary)) % 5 = 0").collect()]
     assert np.mean([r["kept"] for r in rows if r["quality"] == 1 and not r["base_failed"]]) >= 0.98

@@ -85,9 +85,8 @@ def test_documents_and_held_out_fold(spark):
     assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in out.values())
 
 
-def test_sample_data_held_out(docs, labels, spark):
-    big = "/root/testdata/sf0.1"
-    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+def test_sample_data_held_out(spark, sf_large):
+    docs, labels = (spark.read.parquet(f"{sf_large}/{t}.parquet") for t in ("documents", "labels"))
     rows = T.score_documents(docs, labels).join(labels, "doc_id").where("held_out").collect()
     right = sum(r["predicted"] == r["toxic"] for r in rows) / len(rows)
     found = [r["predicted"] for r in rows if r["toxic"] == 1]
